@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillon.common import table
+from quillon.llm.matching import match_records, records
 from quillon.llm.subjects import subjects_of
 
 
@@ -22,5 +24,31 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _subjects(spark, d).select("doc_id", "subject")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p9_found,)}
+def _matched(spark: SparkSession, d: str) -> DataFrame:
+    p, s = table(spark, d, "asset_polygon"), table(spark, d, "asset_sharadar")
+    a = records(
+        p, rec_id=p["rec_id"], figi=p["composite_figi"], ticker=p["ticker"], exchange=p["primary_exchange"], name=p["name"],
+        kind=p["asset_type"], sic=p["sic_code"], day=p["list_date"], alive=F.when(p["active"], "y").when(~p["active"], "n"),
+    )
+    b = records(
+        s, rec_id=s["rec_id"], figi=s["composite_figi"], ticker=s["ticker"], exchange=s["primary_exchange"], name=s["name"],
+        kind=s["category"], sic=s["siccode"], day=s["firstpricedate"],
+        alive=F.when(F.upper(s["isdelisted"]) == "N", "y").when(F.upper(s["isdelisted"]) == "Y", "n"),
+    )
+    return match_records(a, b)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of records of the two sources that describe the same security."""
+    return _matched(spark, d).select(F.least("rec_a", "rec_b").alias("rec_a"), F.greatest("rec_a", "rec_b").alias("rec_b"))
+
+
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The same pairs with their sides and confidence."""
+    return _matched(spark, d).select(
+        F.col("rec_a").alias("polygon_rec"), F.col("rec_b").alias("sharadar_rec"), F.round("confidence", 6).alias("confidence")
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p9_found)}
 ORACLE: dict[str, str] = {}
