@@ -9,9 +9,49 @@ from pyspark.sql import functions as F
 
 from quillon.common import table
 from quillon.llm.matching import match_records, records
+from quillon.llm.mixing import mixed, shares
+from quillon.llm.packing import pack
 from quillon.llm.subjects import subjects_of
 
 
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Container and position of every text, or piece of a text longer than the capacity, in every pack."""
+    docs, packs = table(spark, d, "documents"), table(spark, d, "pack_capacity")
+    return pack(docs, packs, doc_id=docs["doc_id"], text=docs["text"], pack_name=packs["pack_name"], capacity=packs["capacity_tokens"])
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and unused room of each pack."""
+    packs = table(spark, d, "pack_capacity")
+    return (
+        p7_containers(spark, d)
+        .groupBy("pack_name")
+        .agg((F.max("container_id") + 1).alias("containers"), F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("pieces"))
+        .join(packs, "pack_name")
+        .select("pack_name", "containers", "pieces", "tokens", (1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("unused"))
+    )
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs, m = table(spark, d, "documents"), table(spark, d, "mix_target")
+    chosen = mixed(
+        docs, m, doc_id=docs["doc_id"], text=docs["text"], source=docs["source"], mix_name=m["mix_name"], mix_source=m["source"],
+        share=m["target_share"], max_repeat=m["max_repeat"],
+    )
+    return chosen, m
+
+
+def p8_chosen(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of every mix with their copies."""
+    return _mixed(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source of every mix."""
+    chosen, m = _mixed(spark, d)
+    return shares(chosen, m, mix_name=m["mix_name"], mix_source=m["source"], share=m["target_share"])
+
+
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = table(spark, d, "documents"), table(spark, d, "subject_label")
     return subjects_of(
@@ -50,5 +90,22 @@ def p1_matches(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p9_found)}
+def p9_subjects(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the share of sentences and their number."""
+    return _subjects(spark, d)
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and sentences of the corpus by subject."""
+    return (
+        _subjects(spark, d)
+        .groupBy("subject")
+        .agg(F.count(F.lit(1)).alias("documents"), F.sum(F.round(F.col("share") * F.col("sentences"))).cast("bigint").alias("sentences"))
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (p1_found, p1_matches, p7_containers, p7_fill, p8_chosen, p8_shares, p9_found, p9_subjects, p9_composition)
+}
 ORACLE: dict[str, str] = {}
