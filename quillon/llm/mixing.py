@@ -14,6 +14,8 @@ from quillon.llm.tokens import TOKENIZER, token_counts
 CLASSES = range(-2, 3)
 #: Bins of the sampling rank per power of e.
 FINE = 1024
+#: Ranks after the cut-off that may fill the last room of a source, which is less than one document.
+TOPPING = 512
 
 
 def expected_copies(tokens: dict[int, float], goal: float, most: int) -> dict[int, float]:
@@ -72,7 +74,7 @@ def mixed(
 
     Method: Pareto order sampling. The whole part of the expected copies is certain; for one copy more,
     documents are ranked by their random odds over their inclusion odds, and the lowest ranks are taken as long
-    as they fit the source's tokens; one more document fills what is left. The random numbers are hashes, so a run can be repeated.
+    as they fit the source's tokens; what is left, less than one document, goes to the next ranks that fit. The random numbers are hashes, so a run can be repeated.
 
     Scale: sizes are measured once and checkpointed in the shared folder; the driver sees one row per listed
     source and size class. The cut-off rank of a source comes from token sums of fine rank bins (map-side
@@ -115,19 +117,25 @@ def mixed(
     run = F.sum("n_tokens").over(Window.partitionBy("mix_name", "source").orderBy("q", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))
     at = judged.where("bin = edge").withColumn("upto", F.col("before") + run)
     fits = F.col("upto") <= F.col("rest")
-    # The room that the ranked prefix leaves, less than one document, goes to the longest unchosen one that fits.
+    # The room that the ranked prefix leaves, less than one document, goes to the next ranks that fit, in order.
     room = at.groupBy("mix_name", "source").agg((F.first("rest") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.first("before"))).alias("room"))
     beyond = judged.where("bin > edge").select(*judged.columns).unionByName(at.where(~fits).select(*judged.columns))
+    rank = F.row_number().over(Window.partitionBy("mix_name", "source").orderBy("q", "doc_id"))
+    near = beyond.join(bounded_broadcast(room, max_targets), ["mix_name", "source"]).where(F.col("n_tokens") <= F.col("room"))
     topping = (
-        beyond.join(bounded_broadcast(room, max_targets), ["mix_name", "source"])
-        .where(F.col("n_tokens") <= F.col("room"))
+        near.withColumn("n", rank)
+        .where(F.col("n") <= TOPPING)
         .groupBy("mix_name", "source")
-        .agg(F.max(F.struct("n_tokens", "doc_id"))["doc_id"].alias("topped"))
-    )
+        .agg(F.sort_array(F.collect_list(F.struct("q", "doc_id", "n_tokens"))).alias("next"), F.first("room").alias("room"))
+        .select("mix_name", "source", F.expr(
+            "aggregate(next, struct(double(room) as room, cast(array() as array<bigint>) as ids), (acc, x) -> if(x.n_tokens <= acc.room, "
+            "struct(acc.room - x.n_tokens as room, concat(acc.ids, array(x.doc_id)) as ids), acc)).ids"
+        ).alias("topped"))
+    )
     given = judged.where("q is not null and (edge is null or bin < edge)").select("*", F.lit(1).alias("extra"))
     given = given.unionByName(at.where(fits).select(*judged.columns, F.lit(1).alias("extra")))
     others = beyond.join(bounded_broadcast(topping, max_targets), ["mix_name", "source"], "left")
-    others = others.select(*judged.columns, F.coalesce(F.col("doc_id") == F.col("topped"), F.lit(False)).cast("int").alias("extra"))
+    others = others.select(*judged.columns, F.coalesce(F.array_contains("topped", F.col("doc_id")), F.lit(False)).cast("int").alias("extra"))
     every = given.unionByName(others).unionByName(judged.where("q is null").select("*", F.lit(0).alias("extra")))
     return every.select("mix_name", "source", "doc_id", "n_tokens", (F.col("whole") + F.col("extra")).alias("repeats")).where("repeats > 0")
 
