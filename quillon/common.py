@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +65,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder path for staged files, in the shared folder of the cluster (a local one only where none is set)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quillon-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
