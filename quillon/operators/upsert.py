@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillon.operators.partitions import BUCKET, bucket_start
 from quillon.types import DataTypeSpec
@@ -77,7 +78,8 @@ class ParquetStore:
         schema = self.spec.schema
         if not self.exists():
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema.add(BUCKET, "int") if self.spec.partitioned and BUCKET not in schema.names else schema).parquet(self.root).select(*[c for c in self.spec.schema.names if c != BUCKET])
+        stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]) if self.spec.partitioned else schema
+        return self.spark.read.schema(stored).parquet(self.root).select(*schema.names)
 
     def merge(self, batch: DataFrame, seq: Column | None = None) -> int:
         """Merge a batch; returns the rows written."""

@@ -51,7 +51,9 @@ def brute(raw: str | None, tz: str | None, day_first: bool) -> int | None:
         elif m := re.fullmatch(r"(\d{4})-W(\d\d)-(\d)", s):
             d = date.fromisocalendar(*map(int, m.groups()))
         elif m := re.fullmatch(r"(\d{4})-(\d{3})", s):
-            d = datetime.strptime(s, "%Y-%j").date()
+            d = date(int(m[1]), 1, 1) + timedelta(int(m[2]) - 1)
+            if d.year != int(m[1]):
+                return None
         elif m := re.fullmatch(r"(\d\d?)/(\d\d?)/(\d{4})", s):
             a, b, y = map(int, m.groups())
             d = date(y, b, a) if day_first else date(y, a, b)
