@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.common import bounded_broadcast, cut, squeezed
+from quillon.common import cut, squeezed
 from quillon.llm.tokens import TOKENIZER, token_counts
 
 #: Size classes: twice the binary logarithm of a text's size over its source's mean, cut to this range.
@@ -79,7 +79,8 @@ def mixed(
     Scale: sizes are measured once and checkpointed in the shared folder; the driver sees one row per listed
     source and size class. The cut-off rank of a source comes from token sums of fine rank bins (map-side
     combined); only the bin at the cut-off is put in order, about a thousandth of a source, so a source
-    with a third of all rows is no hot group. Mix tables are broadcast only up to ``max_targets`` rows.
+    with a third of all rows is no hot group. The tables per mix and source are broadcast; more than
+    ``max_targets`` targets are an error, so their size is bounded.
 
     Defined cases: sources are compared without case and blanks; documents without source, of a source not
     listed, or without tokens are never chosen; listed sources without documents get nothing and the other shares
@@ -90,17 +91,23 @@ def mixed(
         "m is not null and s is not null and p > 0 and r >= 1"
     )
     sized = cut(token_counts(documents, text, {"doc_id": doc_id.cast("bigint"), "source": squeezed(source)}, tokenizer))
-    known = sized.join(bounded_broadcast(listed.select(F.col("s").alias("source")).distinct(), max_targets), "source").where("n_tokens > 0")
+    # Every small table below has at most one row per listed mix and source, so one check of that list covers all.
+    goals = [(r["m"], r["s"], r["p"], r["r"]) for r in listed.limit(max_targets + 1).collect()]
+    if len(goals) > max_targets:
+        raise ValueError(f"more than {max_targets} targets")
+    small = F.broadcast
+    known = sized.join(small(listed.select(F.col("s").alias("source")).distinct()), "source").where("n_tokens > 0")
     mean = known.groupBy("source").agg(F.avg("n_tokens").alias("mean"))
-    classed = known.join(bounded_broadcast(mean, max_targets), "source").select(
+    classed = known.join(small(mean), "source").select(
         "source", "doc_id", "n_tokens",
         F.greatest(F.lit(CLASSES[0]), F.least(F.lit(CLASSES[-1]), F.round(2 * F.log2(F.col("n_tokens") / F.col("mean"))).cast("int"))).alias("c"),
     )
+    classed = cut(classed)
     tokens = {(r["source"], r["c"]): float(r["t"]) for r in classed.groupBy("source", "c").agg(F.sum("n_tokens").alias("t")).collect()}
-    rows = allocation([(r["m"], r["s"], r["p"], r["r"]) for r in listed.collect()], tokens)
+    rows = allocation(goals, tokens)
     spark = documents.sparkSession
     plan = spark.createDataFrame(rows, "mix_name string, source string, c int, whole int, part double, rest double")
-    offered = classed.join(bounded_broadcast(plan, max_targets * len(CLASSES)), ["source", "c"])
+    offered = classed.join(small(plan), ["source", "c"])
     # A uniform number in (0, 1) from 52 bits of a hash.
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "mix_name", "source", F.lit(seed)), 12).cast("double") + 0.5) / float(1 << 52)
     q = F.when((F.col("part") > 1e-9) & (F.col("rest") > 0), F.ln(u / (1 - u)) - F.ln(F.col("part") / (1 - F.least(F.col("part"), F.lit(1 - 1e-12)))))
@@ -113,7 +120,7 @@ def mixed(
         .select("mix_name", "source", F.col("bin").alias("edge"), "before")
     )
     # One edge per mix and source; a source that takes every offered copy has none.
-    judged = offered.join(bounded_broadcast(edge, max_targets), ["mix_name", "source"], "left")
+    judged = cut(offered.join(small(edge), ["mix_name", "source"], "left"))
     run = F.sum("n_tokens").over(Window.partitionBy("mix_name", "source").orderBy("q", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))
     at = judged.where("bin = edge").withColumn("upto", F.col("before") + run)
     fits = F.col("upto") <= F.col("rest")
@@ -121,7 +128,7 @@ def mixed(
     room = at.groupBy("mix_name", "source").agg((F.first("rest") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.first("before"))).alias("room"))
     beyond = judged.where("bin > edge").select(*judged.columns).unionByName(at.where(~fits).select(*judged.columns))
     rank = F.row_number().over(Window.partitionBy("mix_name", "source").orderBy("q", "doc_id"))
-    near = beyond.join(bounded_broadcast(room, max_targets), ["mix_name", "source"]).where(F.col("n_tokens") <= F.col("room"))
+    near = beyond.join(small(room), ["mix_name", "source"]).where(F.col("n_tokens") <= F.col("room"))
     topping = (
         near.withColumn("n", rank)
         .where(F.col("n") <= TOPPING)
@@ -134,7 +141,7 @@ def mixed(
     )
     given = judged.where("q is not null and (edge is null or bin < edge)").select("*", F.lit(1).alias("extra"))
     given = given.unionByName(at.where(fits).select(*judged.columns, F.lit(1).alias("extra")))
-    others = beyond.join(bounded_broadcast(topping, max_targets), ["mix_name", "source"], "left")
+    others = beyond.join(small(topping), ["mix_name", "source"], "left")
     others = others.select(*judged.columns, F.coalesce(F.array_contains("topped", F.col("doc_id")), F.lit(False)).cast("int").alias("extra"))
     every = given.unionByName(others).unionByName(judged.where("q is null").select("*", F.lit(0).alias("extra")))
     return every.select("mix_name", "source", "doc_id", "n_tokens", (F.col("whole") + F.col("extra")).alias("repeats")).where("repeats > 0")
