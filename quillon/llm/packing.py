@@ -176,12 +176,13 @@ def pack(
         for r in packs.select(pack_name.alias("n"), capacity.alias("c")).where("n is not null and c > 0").groupBy("n").agg(F.min("c").alias("c")).collect()
     }
     sizes = cut(token_counts(documents, text, {"doc_id": doc_id.cast("bigint")}, tokenizer))
-    caps = documents.sparkSession.createDataFrame(list(limits.items()), "pack_name string, cap bigint") if limits else None
-    if caps is None:
+    if not limits:
         return sizes.limit(0).select(F.lit("").alias("pack_name"), *[F.lit(0).cast("bigint").alias(c) for c in ("container_id", "position")], "doc_id", F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("token_start"), "n_tokens")
+    # Each document once in each of a handful of packs, which the capacity table names.
+    caps = F.inline(F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("bigint").alias("cap")) for n, c in limits.items()]))
     last = F.greatest(F.ceil(F.col("n_tokens") / F.col("cap")) - 1, F.lit(0))
     pieces = (
-        sizes.crossJoin(F.broadcast(caps))  # a handful of packs, each document once in each
+        sizes.select("doc_id", "n_tokens", caps)
         .select("pack_name", "cap", "doc_id", "n_tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
         .select("pack_name", "doc_id", F.col("piece").cast("int").alias("piece"), (F.col("piece") * F.col("cap")).alias("token_start"), F.least("cap", F.col("n_tokens") - F.col("piece") * F.col("cap")).alias("n_tokens"))
     )
