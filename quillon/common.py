@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,3 +73,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder path for staged files, in the shared folder of the cluster (a local one only where none is set)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quillon-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application.
+
+    Operators that run Python need it there; where it is installed on all nodes this changes nothing.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quillon_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="quillon-ship-")) / "quillon.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))  # the driver serves the file to every executor
+    sc._quillon_shipped = True

@@ -9,8 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
+    from quillon.common import ship
     from quillon.session import local_session
 
     s = local_session(4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    ship(s)
     yield s
     s.stop()
