@@ -23,7 +23,10 @@ class Limits:
     weight: float = 0.05  # of a new value in the exponentially weighted mean and scale
     clip: float = 3.0  # scales to which a value is clipped before it updates mean and scale
     move: float = 6.5  # scales that make a move of the close suspect
-    back: float = 0.35  # part of a suspect move that may remain after its return
+    back: float = 0.5  # part of a suspect move that may remain after the step that takes it back
+    back_busy: float = 0.3  # the same where the volume tells of an event
+    stay: float = 0.6  # part of the move at which a second suspect day still stands
+    busy: float = 3.0  # times the usual volume that tell of an event
     back_days: int = 2  # trading days within which it returns
     repeats: int = 5  # unchanged closes after the first
     usual_repeats: float = 0.3  # share of unchanged closes up to which a source counts as moving
@@ -53,14 +56,19 @@ def chart(close: np.ndarray, volume: np.ndarray, split: np.ndarray, lim: Limits)
     moving = moves[moves > 0]
     overall = 1.4826 * float(np.median(moving)) if len(moving) else 0.0
     surprise = np.zeros(n)
+    # Days without a close take the split factor of the last close before.
+    last = np.searchsorted(days, np.arange(n), side="right") - 1
+    day_factor = np.where(last >= 0, factor[np.maximum(last, 0)], 0.0)
+    logs = np.full(n, np.nan)
+    traded = volume > 0
+    logs[traded] = np.log(volume[traded]) - day_factor[traded]
     if overall > 0:
-        _closes(days, level, moving, overall, mask, surprise, lim)
+        usual = float(np.median(logs[traded])) if traded.any() else 0.0
+        with np.errstate(invalid="ignore"):
+            busy = (logs > usual + math.log(lim.busy)) & (not thin)
+        _closes(days, level, moving, overall, busy, mask, surprise, lim)
     _repeats(days, close, volume, thin, mask, lim)
-    day_factor = np.zeros(n)
-    day_factor[days] = factor
-    where = np.maximum.accumulate(np.where(np.isin(np.arange(n), days), np.arange(n), -1))
-    day_factor = np.where(where >= 0, day_factor[np.maximum(where, 0)], 0.0)
-    _volumes(volume, day_factor, surprise, thin, mask, lim)
+    _volumes(volume, logs, surprise, thin, mask, lim)
     return mask
 
 
@@ -87,8 +95,12 @@ def _splits(days: np.ndarray, price: np.ndarray, split: np.ndarray, mask: np.nda
     return out
 
 
-def _closes(days, level, moving, overall, mask, surprise, lim) -> None:
-    """Chart of daily moves: a suspect close that comes back is flagged and leaves no trace in the chart."""
+def _closes(days, level, moving, overall, busy, mask, surprise, lim) -> None:
+    """Chart of daily moves: a suspect close that comes back is flagged and leaves no trace in the chart.
+
+    It comes back in one step, from the last suspect day to at most a part of that day's distance; a level that
+    wears off, step by step and after a day of event-like volume, doesn't.
+    """
     scale = max(1.4826 * float(np.median(moving[: lim.warm_up])), 0.5 * overall)
     mean, base, n, k = 0.0, level[0], len(level), 1
     values, floor = level.tolist(), 0.5 * overall
@@ -97,13 +109,17 @@ def _closes(days, level, moving, overall, mask, surprise, lim) -> None:
         z = abs(off - mean) / scale
         surprise[days[k]] = z
         if z > lim.move:
+            rest = lim.back_busy if busy[days[k]] else lim.back
             for step in range(1, lim.back_days + 1):
                 # An earlier return is looked for first; missing closes between count as trading days.
-                if k + step < n and days[k + step] - days[k] <= lim.back_days and abs(values[k + step] - base) <= lim.back * abs(off):
+                if k + step >= n or days[k + step] - days[k] > lim.back_days:
+                    continue
+                away = values[k + step - 1] - base
+                stays = step == 1 or (away * off > 0 and abs(away) >= lim.stay * abs(off))
+                if stays and abs(values[k + step] - base) <= rest * abs(away):
                     for j in range(k, k + step):
-                        if abs(values[j] - base) > lim.move * scale:
-                            mask[days[j]] |= SPIKE
-                            surprise[days[j]] = abs(values[j] - base) / scale
+                        mask[days[j]] |= SPIKE
+                        surprise[days[j]] = abs(values[j] - base) / scale
                     k += step
                     break
             else:
@@ -136,14 +152,12 @@ def _repeats(days, close, volume, thin, mask, lim) -> None:
         mask[run] |= STUCK
 
 
-def _volumes(volume, factor, surprise, thin, mask, lim) -> None:
+def _volumes(volume, logs, surprise, thin, mask, lim) -> None:
     """Chart of the logarithm of the split-adjusted volume."""
     ok = np.flatnonzero(volume >= 0)
     traded = ok[volume[ok] > 0]
     if len(traded) < 5:
         return
-    logs = np.full(len(volume), np.nan)
-    logs[traded] = np.log(volume[traded]) - factor[traded]
     first = logs[traded[: lim.warm_up]]
     mean = float(np.median(first))
     whole = logs[traded]
