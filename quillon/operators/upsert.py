@@ -94,7 +94,8 @@ class ParquetStore:
         touched = [r[0] for r in with_bucket.select(BUCKET).distinct().collect()]  # a handful of buckets
         old = self.spark.read.schema(self.spec.schema).parquet(*paths) if (paths := [p for b in touched if self._fs(p := f"{self.root}/{BUCKET}={b}")[0].exists(self._fs(p)[1])]) else self.spark.createDataFrame([], spec.schema)
         merged = upsert_spec(old, with_bucket.drop(BUCKET), spec, seq).withColumn(BUCKET, bucket_start(F.col("event_date")))
-        merged.repartition(BUCKET, F.pmod(F.xxhash64(*spec.keys), F.lit(16))).sortWithinPartitions(*spec.keys).write.option("compression", "zstd").partitionBy(BUCKET).parquet(staged)
+        # Adaptive execution splits a large bucket into files of the advisory size.
+        merged.hint("rebalance", BUCKET).sortWithinPartitions(*spec.keys).write.option("compression", "zstd").partitionBy(BUCKET).parquet(staged)
         n = self.spark.read.parquet(staged).count() if touched else 0
         for b in touched:
             self._swap(f"{staged}/{BUCKET}={b}", f"{self.root}/{BUCKET}={b}")

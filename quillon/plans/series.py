@@ -73,8 +73,8 @@ def locf_by_series(spark, d):
     """Every series on every trading day; the calendar is bounded by its date range."""
     cal = trading_days(spark, START, END, holidays(spark))
     names = table(spark, d, "events").select(F.col("event_type").alias("series")).distinct()
-    days = cal.agg(F.array_sort(F.collect_list("trading_day")).alias("days"))
-    grid = names.join(F.broadcast(days)).select("series", F.explode("days").alias("trading_day"))
+    days = F.explode(F.expr(f"sequence(date'{START}', date'{END}', interval 1 day)"))
+    grid = names.select("series", days.alias("trading_day")).join(cal, "trading_day", "left_semi")
     return grid.join(_daily(spark, d, "value > 100"), ["series", "trading_day"], "left").select(
         "series", "trading_day", locf(F.col("value"), ["trading_day"], ["series"]).alias("value")
     )
