@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 PRIVATE = "__q_"
 
 #: White space that counts as an outer blank of a key.
-BLANKS = " \t\r\n "
+BLANKS = " \t\r\n\u00a0\u2007\u202f"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,7 @@ def clean_key(c: Column) -> Column:
 
 def squeezed(c: Column) -> Column:
     """Lower case, inner blanks single, outer blanks gone, empty is null."""
-    return F.nullif(F.lower(F.btrim(F.regexp_replace(c, r"[\s ]+", " "))), F.lit(""))
+    return F.nullif(F.lower(F.btrim(F.regexp_replace(c, r"[\s\u00a0\u2007\u202f]+", " "))), F.lit(""))
 
 
 def free_name(df_columns: list[str], wanted: str) -> str:

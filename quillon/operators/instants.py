@@ -114,7 +114,7 @@ def to_instants(
         .groupBy("__q_place")
         .agg(F.max("x").alias("__q_zone"))
     )
-    text = F.btrim(raw, F.lit(BLANKS + " ﻿"))
+    text = F.btrim(raw, F.lit(BLANKS + "\ufeff"))
     rewritten = F.regexp_replace(text, F.lit(PATTERN), F.lit(SEP + SEP.join(_FIELDS.values())))
     work = rows.select("*", clean_key(place).alias("__q_place")).join(bounded_broadcast(places, max_zones), "__q_place", "left")
     work = _once(work, {"__q_p": F.split(rewritten, SEP)})
