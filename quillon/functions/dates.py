@@ -25,7 +25,8 @@ def new_york_date(utc_midnight: Column) -> Column:
 
 def close_time(stamp: Column) -> Column:
     """Time of day in New York of a close given as an RFC 3339 text, 16:00:00 where none is given."""
-    at = F.from_utc_timestamp(F.try_to_timestamp(stamp), NEW_YORK)
+    # The cast gives the wall time of the session's zone, from which the conversion starts.
+    at = F.convert_timezone(None, F.lit(NEW_YORK), F.try_to_timestamp(stamp).cast("timestamp_ntz"))
     return F.coalesce(F.date_format(at, "HH:mm:ss"), F.lit("16:00:00"))
 
 

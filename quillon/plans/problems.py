@@ -29,7 +29,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_normalized(spark: SparkSession, d: str) -> DataFrame:
     """Every row with its instant as a text, null where the value names none."""
-    shown = F.date_format(F.to_utc_timestamp(F.timestamp_micros("utc_us"), "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    wall = F.expr("timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(cast(utc_us as decimal(18, 0)) / 1000000 as decimal(18, 6)))")
+    shown = F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return _instants(spark, d).select("stamp_id", "provider", "field_name", "mic", "raw_value", "utc_us", shown.alias("utc"))
 
 
