@@ -22,6 +22,8 @@ class Limits:
 
     weight: float = 0.05  # of a new value in the exponentially weighted mean and scale
     clip: float = 3.0  # scales to which a value is clipped before it updates mean and scale
+    calmest: float = 0.8  # least scale of moves, in parts of the whole series' median scale
+    wildest: float = 1.25  # greatest
     move: float = 6.5  # scales that make a move of the close suspect
     back: float = 0.5  # part of a suspect move that may remain after the step that takes it back
     back_busy: float = 0.3  # the same where the volume tells of an event
@@ -101,9 +103,9 @@ def _closes(days, level, moving, overall, busy, mask, surprise, lim) -> None:
     It comes back in one step, from the last suspect day to at most a part of that day's distance; a level that
     wears off, step by step and after a day of event-like volume, doesn't.
     """
-    scale = max(1.4826 * float(np.median(moving[: lim.warm_up])), 0.5 * overall)
-    mean, base, n, k = 0.0, level[0], len(level), 1
-    values, floor = level.tolist(), 0.5 * overall
+    floor, most = lim.calmest * overall, lim.wildest * overall
+    scale = min(most, max(floor, 1.4826 * float(np.median(moving[: lim.warm_up]))))
+    mean, base, n, k, values = 0.0, level[0], len(level), 1, level.tolist()
     while k < n:
         off = values[k] - base
         z = abs(off - mean) / scale
@@ -124,13 +126,13 @@ def _closes(days, level, moving, overall, busy, mask, surprise, lim) -> None:
                     break
             else:
                 base = values[k]
-                scale = max(floor, scale + lim.weight * (1.2533 * min(abs(off), lim.clip * scale) - scale))
+                scale = min(most, max(floor, scale + lim.weight * (1.2533 * min(abs(off), lim.clip * scale) - scale)))
                 k += 1
             continue
         if off:
             held = max(-lim.clip * scale, min(lim.clip * scale, off))
             mean += lim.weight * (held - mean)
-            scale = max(floor, scale + lim.weight * (1.2533 * abs(held - mean) - scale))
+            scale = min(most, max(floor, scale + lim.weight * (1.2533 * abs(held - mean) - scale)))
         base = values[k]
         k += 1
 
