@@ -19,10 +19,14 @@ def known_as_of(
     fact_key: Column,
     known_from: Column,
     precedence: Sequence[str],
+    attributes: Sequence[str] | None = None,
     as_name: str = "fact",
 ) -> DataFrame:
     """Every event that has a known fact, with that fact as a struct column ``as_name``.
 
+    The struct has the ``precedence`` columns and ``attributes`` (None: all columns of the facts); name only what is
+    needed, since a struct is read whole.
+
     A fact is known from ``known_from`` on (that moment included). Of the facts of the event's key known
     at the event's time, the one with the greatest ``precedence`` columns holds, compared left to right,
     nulls lowest; so a late filing of an old period does not replace a newer period.
@@ -43,8 +47,9 @@ def known_as_of(
     """
     if as_name.lower() in {c.lower() for c in events.columns}:
         raise ValueError(f"events already has a column {as_name}")
-    rest = [c for c in facts.columns if c not in precedence]
-    keyed = facts.select(fact_key.alias(K), known_from.alias(DAY), *[facts[c] for c in facts.columns]).where(
+    wanted = [c for c in facts.columns if attributes is None or c in attributes or c in precedence]
+    rest = [c for c in wanted if c not in precedence]
+    keyed = facts.select(fact_key.alias(K), known_from.alias(DAY), *[facts[c] for c in wanted]).where(
         F.col(K).isNotNull() & F.col(DAY).isNotNull()
     )
     rank = F.struct(*[F.col(c) for c in precedence])
@@ -67,17 +72,17 @@ def known_as_of(
     versions = counted.where(F.col("__q_new")).select(
         K, NUM, *[F.col(f"{RANK}.{c}").alias(f"__q_p{i}") for i, c in enumerate(precedence)]
     )
-    # One wide row per key and precedence; repeats of a filing collapse to the greatest.
-    wide = keyed.groupBy(F.col(K).alias("__q_wk"), *[F.col(c).alias(f"__q_w{i}") for i, c in enumerate(precedence)]).agg(
-        F.max(F.struct(*[F.col(c) for c in rest]) if rest else F.lit(True)).alias("__q_rest")
-    )
-    same = F.col(K) == F.col("__q_wk")
-    for i in range(len(precedence)):
-        same &= F.col(f"__q_p{i}").eqNullSafe(F.col(f"__q_w{i}"))
     place = {c: i for i, c in enumerate(precedence)}
-    fact = F.struct(
-        *[(F.col(f"__q_w{place[c]}") if c in place else F.col(f"__q_rest.{c}")).alias(c) for c in facts.columns]
-    ).alias(as_name)
-    attributed = versions.join(wide, same).select(K, NUM, fact)
+    if rest:
+        # One wide row per key and precedence; repeats of a filing collapse to the greatest.
+        wide = keyed.groupBy(F.col(K).alias("__q_wk"), *[F.col(c).alias(f"__q_w{i}") for i, c in enumerate(precedence)]).agg(
+            F.max(F.struct(*[F.col(c) for c in rest])).alias("__q_rest")
+        )
+        same = F.col(K) == F.col("__q_wk")
+        for i in range(len(precedence)):
+            same &= F.col(f"__q_p{i}").eqNullSafe(F.col(f"__q_w{i}"))
+        versions = versions.join(wide, same)
+    fact = F.struct(*[(F.col(f"__q_p{place[c]}") if c in place else F.col(f"__q_rest.{c}")).alias(c) for c in wanted]).alias(as_name)
+    attributed = versions.select(K, NUM, fact)
     at_day = asked.join(attributed, [K, NUM]).select(K, DAY, as_name)
     return ev.join(at_day, [K, DAY]).select(*[ev[c] for c in events.columns], as_name)

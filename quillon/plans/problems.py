@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,26 +92,26 @@ def p5_reasons(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _known(spark: SparkSession, d: str) -> DataFrame:
+def _known(spark: SparkSession, d: str, attributes: Sequence[str]) -> DataFrame:
     r, f = table(spark, d, "rating"), table(spark, d, "fundamental")
     filed = f.where(
         (clean_key(f["dimension"]) == "ARQ") & f["date_key"].isNotNull() & F.coalesce(f["date_key"] >= f["report_period"], F.lit(True))
     )
     return known_as_of(
         r, filed, event_key=clean_key(r["composite_figi"]), event_time=r["event_date"], fact_key=clean_key(filed["composite_figi"]),
-        known_from=filed["date_key"], precedence=["event_date", "date_key", "fundamental_id"],
+        known_from=filed["date_key"], precedence=["event_date", "date_key", "fundamental_id"], attributes=attributes,
     )
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Rating and the fundamental row known on its day."""
-    return _known(spark, d).select("rating_id", F.col("fact.fundamental_id").alias("fundamental_id"))
+    return _known(spark, d, []).select("rating_id", F.col("fact.fundamental_id").alias("fundamental_id"))
 
 
 def p6_attributes(spark: SparkSession, d: str) -> DataFrame:
     """Rating with the measures of the fundamental row known on its day."""
     keep = ["fundamental_id", "event_date", "date_key", "report_period", "revenues", "net_income_common_stock", "total_assets", "total_debt", "equity", "shares_basic", "eps", "price", "market_capitalization"]
-    return _known(spark, d).select(
+    return _known(spark, d, keep).select(
         "rating_id", clean_key(F.col("composite_figi")).alias("composite_figi"), F.col("event_date").alias("rated_on"), "analyst", "rating",
         *[F.col(f"fact.{c}").alias({"event_date": "period_end"}.get(c, c)) for c in keep],
     )
