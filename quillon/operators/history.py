@@ -21,12 +21,14 @@ def attribute_history(
     received_at: Column,
     carried: Mapping[str, Column],
     stated: Mapping[str, Column],
+    labels: Mapping[str, tuple[str, Column]] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Versions of each entity: (entity, valid_from, valid_to, *carried, *stated), valid_to null while open.
+    """Versions of each entity: (entity, valid_from, valid_to, *labels, *carried, *stated), valid_to null while open.
 
     ``carried`` attributes take null as "not reported": the state before goes on. ``stated`` attributes take
-    null as a value of its own. Of several rows of an entity with one ``changed_at``, the one with the latest
+    null as a value of its own. ``labels`` name a carried attribute and how a row writes it: they are not compared, and a
+    version has the label of the row that brought its value. Of several rows of an entity with one ``changed_at``, the one with the latest
     ``received_at`` holds (then the greatest attribute values). The first row of an entity opens its first
     version; a later row opens one only if an attribute differs from the state before.
 
@@ -42,12 +44,13 @@ def attribute_history(
     Defined cases: rows without entity or time are left out; repeated rows make no version; an empty input
     gives an empty result; other columns of ``rows`` are not used, so their names cannot clash.
     """
-    names = [*carried, *stated]
+    labels = labels or {}
+    names = [*labels, *carried, *stated]
     base = rows.select(
         entity.alias(E_),
         changed_at.alias(T_),
         received_at.alias("__q_got"),
-        *[c.alias(f"__q_v{i}") for i, c in enumerate([*carried.values(), *stated.values()])],
+        *[c.alias(f"__q_v{i}") for i, c in enumerate([*[c for _, c in labels.values()], *carried.values(), *stated.values()])],
     ).where(F.col(E_).isNotNull() & F.col(T_).isNotNull())
     vals = [f"__q_v{i}" for i in range(len(names))]
     one = (
@@ -59,14 +62,15 @@ def attribute_history(
     blocks = placed.groupBy(E_, F.expr(f"{POS} div {int(block_rows)}").alias("__q_block")).agg(
         F.sort_array(F.collect_list(F.struct(T_, *vals))).alias("__q_rows")
     )
-    n_carried = len(carried)
+    n_carried = len(labels) + len(carried)
+    judged = vals[len(labels) :]
     element = f"struct<{T_}:{dict(one.dtypes)[T_]}," + ",".join(f"{v}:{dict(one.dtypes)[v]}" for v in vals) + ">"
     state = ", ".join(
         [f"coalesce(x.{v}, element_at(acc, -1).{v}) as {v}" for v in vals[:n_carried]]
         + [f"x.{v} as {v}" for v in vals[n_carried:]]
     )
     differs = " or ".join(
-        [f"not (coalesce(x.{v}, element_at(acc, -1).{v}) <=> element_at(acc, -1).{v})" for v in vals[:n_carried]]
+        [f"not (coalesce(x.{v}, element_at(acc, -1).{v}) <=> element_at(acc, -1).{v})" for v in vals[len(labels) : n_carried]]
         + [f"not (x.{v} <=> element_at(acc, -1).{v})" for v in vals[n_carried:]]
     )
     folded = F.expr(
@@ -75,16 +79,20 @@ def attribute_history(
     )
     kept = blocks.select(E_, F.explode(folded).alias("__q_x")).select(E_, f"__q_x.{T_}", *[f"__q_x.{v}" for v in vals])
     by_time = Window.partitionBy(E_).orderBy(T_)
-    past = by_time.rowsBetween(Window.unboundedPreceding, -1)
-    cur = {}
-    for i, v in enumerate(vals):
-        cur[v] = F.last(v, ignorenulls=True).over(by_time.rowsBetween(Window.unboundedPreceding, 0)) if i < n_carried else F.col(v)
-    before = {v: (F.last(v, ignorenulls=True).over(past) if i < n_carried else F.lag(v).over(by_time)) for i, v in enumerate(vals)}
-    first = F.row_number().over(by_time) == 1
-    change = first
-    for v in vals:
-        change = change | ~cur[v].eqNullSafe(before[v])
-    versions = kept.select(E_, T_, change.alias("__q_change"), *[cur[v].alias(v) for v in vals]).where("__q_change")
+    past, upto = by_time.rowsBetween(Window.unboundedPreceding, -1), by_time.rowsBetween(Window.unboundedPreceding, 0)
+    known = lambda v, w: F.last(v, ignorenulls=True).over(w)
+    carry = set(vals[len(labels) : n_carried])
+    now = kept.select(
+        E_, T_, (F.row_number().over(by_time) == 1).alias("__q_first"), *vals[: len(labels)],
+        *[(known(v, upto) if v in carry else F.col(v)).alias(v) for v in judged],
+        *[(known(v, past) if v in carry else F.lag(v).over(by_time)).alias(f"{v}b") for v in judged],
+    )
+    moved = {v: F.col("__q_first") | ~F.col(v).eqNullSafe(F.col(f"{v}b")) for v in judged}
+    change = F.col("__q_first")
+    for m in moved.values():
+        change = change | m
+    key_of = {vals[i]: vals[len(labels) + list(carried).index(k)] for i, (k, _) in enumerate(labels.values())}
+    versions = now.select(E_, T_, change.alias("__q_change"), *[known(F.when(moved[k], F.col(v)), upto).alias(v) for v, k in key_of.items()], *judged).where("__q_change")
     return versions.select(
         F.col(E_).alias("entity"),
         F.col(T_).alias("valid_from"),

@@ -56,8 +56,9 @@ def _history(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "asset_snapshot")
     return attribute_history(
         s, entity=clean_key(s["composite_figi"]), changed_at=s["last_updated"], received_at=s["received_at"],
-        carried={"sector": squeezed(s["sector"]), "active": s["active"]}, stated={"delisted": s["delisted"].cast("date")},
-    )
+        carried={"__sector": F.translate(squeezed(s["sector"]), " ", ""), "active": s["active"]}, stated={"delisted": s["delisted"].cast("date")},
+        labels={"sector": ("__sector", squeezed(s["sector"]))},
+    ).drop("__sector")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from quillon.operators.history import attribute_history
 
 T0 = datetime(2020, 1, 1)
@@ -43,6 +45,20 @@ def test_brute_force_with_hot_key_and_small_blocks(spark):
         assert run(spark, rows, block) == brute(rows)
 
 
+def test_labels_are_carried_but_not_compared(spark):
+    day = lambda i: T0 + timedelta(i)
+    rows = [("a", day(0), T0, "Real Estate", None, None, ""), ("a", day(1), T0, "RealEstate", None, None, ""), ("a", day(2), T0, None, True, None, ""), ("a", day(3), T0, "x y", None, None, ""), ("a", day(4), T0, "realestate", None, None, "")]
+    r = spark.createDataFrame(rows, DDL)
+    key = F.lower(F.translate(r["sector"], " ", ""))
+    for block in (1, 2, 3, 1024):
+        h = attribute_history(
+            r, entity=r["k"], changed_at=r["at"], received_at=r["got"], carried={"key": key, "active": r["active"]}, stated={"gone": r["gone"]},
+            labels={"sector": ("key", r["sector"])}, block_rows=block,
+        )
+        got = [(x["valid_from"], x["sector"], x["active"]) for x in h.orderBy("valid_from").collect()]
+        assert got == [(day(0), "Real Estate", None), (day(2), "Real Estate", True), (day(3), "x y", True), (day(4), "realestate", True)]
+
+
 def test_empty_and_repeats(spark):
     assert run(spark, [], 8) == []
     row = ("a", T0, T0, None, None, None, "")
