@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 import zlib
@@ -51,6 +52,8 @@ BANDS, ROWS = 32, 4
 _A = np.array([(zlib.crc32(f"a{i}".encode()) << 20 | zlib.crc32(f"A{i}".encode())) % ((1 << 31) - 1) | 1 for i in range(BANDS * ROWS)], np.uint64)
 _B = np.array([zlib.crc32(f"b{i}".encode()) for i in range(BANDS * ROWS)], np.uint64)
 
+#: Weights of a record's identifier and symbol as evidence, from 0 to 1.
+WEIGHTS = ("figi_weight", "root_weight")
 #: Parsed attributes of a record, all texts ('' where missing), dates as day numbers (-1 where missing).
 FIELDS = ("figi", "root", "letter", "digit", "exchange", "brand", "trade", "legal", "class_", "former", "former_trade", "fund", "sic", "day", "alive")
 
@@ -175,6 +178,10 @@ NAMES = (
     "exchange_same", "exchange_differs", "kind_differs", "alive_differs", "name_and_symbol_same", "other_name_and_far",
     "near_name_spelled", "subset_and_symbol_same", "other_name_symbol_and_sic_same",
 )
+#: Which features tell of the symbol; their evidence goes with the symbol's weight.
+OF_SYMBOL = np.array([n.startswith("symbol_") or "and_symbol" in n or "name_symbol" in n or n == "near_name_spelled" for n in NAMES])
+#: Share of the names up to which a value that different names carry keeps its whole weight.
+FREE = 0.01
 #: Log-odds expected of each feature before any data; the fit starts from them and is drawn to them.
 PRIOR = dict(
     bias=-3.0, name_same=3.0, name_near=2.2, name_trade_differs=-2.5, name_trade_subset=-1.0, name_short=2.0, name_former=2.5, name_missing=0.0, name_other=-2.5,
@@ -266,9 +273,10 @@ class Model:
     shift: float = 0.0
     identifier: tuple[float, float, float] = (3.5, 3.0, -2.5)
 
-    def probability(self, x: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    def probability(self, x: np.ndarray, distance: np.ndarray, trust: np.ndarray | float = 1.0) -> np.ndarray:
+        """``trust`` is the weight of the identifiers' evidence, from 0 to 1."""
         z = self.scale * (self.weights[0] + x @ np.asarray(self.weights[1:])) + self.shift
-        z = z + np.select([distance == 0, distance == 1, distance == 2], self.identifier, 0.0)
+        z = z + trust * np.select([distance == 0, distance == 1, distance == 2], self.identifier, 0.0)
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -345,6 +353,11 @@ def unpacked(masks: np.ndarray) -> np.ndarray:
     return ((masks[:, None] >> np.arange(len(NAMES))) & 1).astype(float)
 
 
+def weighed(x: np.ndarray, symbol_weight: np.ndarray) -> np.ndarray:
+    """The features with those of the symbol lowered to its weight."""
+    return np.where(OF_SYMBOL, x * symbol_weight[:, None], x)
+
+
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = len(FIELDS)
     for b in batches:
@@ -355,13 +368,15 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             xs.append(packed(features(x, y)))
             ds.append(identifier_distance(x[0], y[0]))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), pa.array(ds, pa.int32()), pa.array(xs, pa.int64())], names=["rep_a", "rep_b", "blind", "distance", "x"]
+            [b.column(0), b.column(1), b.column(2), pa.array(ds, pa.int32()), pa.array(xs, pa.int64()), b.column(3 + 2 * n), b.column(4 + 2 * n)],
+            names=["rep_a", "rep_b", "blind", "distance", "x", *WEIGHTS],
         )
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        p = model.probability(unpacked(b.column(4).to_numpy()), b.column(3).to_numpy())
+        x = weighed(unpacked(b.column(4).to_numpy()), b.column(6).to_numpy())
+        p = model.probability(x, b.column(3).to_numpy(), b.column(5).to_numpy())
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p)], names=["rep_a", "rep_b", "confidence"])
 
 
@@ -378,18 +393,43 @@ def _distinct(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("sig").agg(F.min("rec_id").alias("rep"), *[F.first(n).alias(n) for n in FIELDS])
 
 
-def _without_placeholders(a: DataFrame, b: DataFrame, shared: int) -> tuple[DataFrame, DataFrame]:
-    """The identifier and the symbol of a record are void where more than ``shared`` records of a side carry the same."""
-    for name in ("figi", "root"):
-        often = [d.where(F.col(name) != "").groupBy(name).count().where(F.col("count") > shared).select(F.col(name).alias("often")) for d in (a, b)]
-        void = cut(often[0].unionByName(often[1]).distinct())
-        if void.isEmpty():
-            continue
-        void = bounded_broadcast(void, 100_000)
-        a, b = (d.join(void, F.col(name) == F.col("often"), "left").withColumn(name, F.when(F.col("often").isNull(), F.col(name)).otherwise("")).drop("often") for d in (a, b))
+def _with_weights(a: DataFrame, b: DataFrame, shared: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the ``WEIGHTS`` of their records.
+
+    A value that other names than its usual one carry tells the less, the greater their share of all names. Spellings
+    of the usual name, cut or misspelt, aren't other names: a security that is repeated often keeps its value.
+    """
+    named = a.select("figi", "root", "brand").unionByName(b.select("figi", "root", "brand")).where("brand <> ''")
+    names = named.select("brand").distinct().count() + shared
+    for name, weight in zip(("figi", "root"), WEIGHTS, strict=True):
+        counted = named.where(F.col(name) != "").groupBy(F.col(name).alias("value"), "brand").count()
+        usual = counted.groupBy("value").agg(F.max_by("brand", F.struct("count", "brand")).alias("usual"), F.count(F.lit(1)).alias("n")).where(F.col("n") - 1 > FREE * names)
+        far = F.levenshtein("brand", "usual") > F.greatest(F.length("brand"), F.length("usual")) / 2
+        other = far & ~F.col("brand").startswith(F.col("usual")) & ~F.col("usual").startswith(F.col("brand"))
+        share = F.count(F.when(other, F.lit(1))) / F.lit(float(names))
+        # Each carries more than a fixed share of the names, so these are few.
+        low = cut(counted.join(bounded_broadcast(usual, 100_000), "value").groupBy("value").agg(share.alias("share")).where(F.col("share") > FREE))
+        low = bounded_broadcast(low.select("value", (F.ln("share") / math.log(FREE)).alias("low")), 100_000)
+        a, b = (d.join(low, F.col(name) == F.col("value"), "left").withColumn(weight, F.coalesce("low", F.lit(1.0))).drop("value", "low") for d in (a, b))
     return a, b
 
 
+def _whole(ka: DataFrame, kb: DataFrame, most: int) -> DataFrame:
+    """Every pair (rep_a, rep_b) of the rows (rep_a, k) and (rep_b, k) with the same k.
+
+    A block of more than ``most`` pairs is spread over a grid of cells that have about as many each.
+    """
+    sizes = cut(ka.groupBy("k").agg(F.count(F.lit(1)).alias("na")).join(kb.groupBy("k").agg(F.count(F.lit(1)).alias("nb")), "k"))
+    side, large = max(1.0, most**0.5), F.col("na") * F.col("nb") > most
+    parts = lambda n: F.when(large, F.ceil(F.col(n) / F.lit(side))).otherwise(1)
+    grid = sizes.select("k", parts("na").alias("ga"), parts("nb").alias("gb"))
+    each = lambda g: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(g) - 1))
+    own = lambda rep, g: F.pmod(F.xxhash64(rep), F.col(g))
+    ca = ka.join(grid, "k").select("rep_a", "k", own("rep_a", "ga").alias("i"), each("gb").alias("j"))
+    cb = kb.join(grid, "k").select("rep_b", "k", each("ga").alias("i"), own("rep_b", "gb").alias("j"))
+    return ca.join(cb, ["k", "i", "j"]).select("rep_a", "rep_b")
+
+
 def _pairs(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
     """Candidate pairs (rep_a, rep_b) of two frames (rep, first, second)."""
     ka, kb = (d.select(F.col("rep").alias(f"rep_{s}"), F.explode("first").alias("k")) for d, s in ((a, "a"), (b, "b")))
@@ -421,8 +461,9 @@ def _pairs(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
 
 def _judged(joined: DataFrame, blind: Column) -> DataFrame:
     """(rep_a, rep_b, blind, distance, x) of pairs with the attributes of both sides."""
-    narrow = joined.select("rep_a", "rep_b", blind.alias("blind"), *[f"{n}_a" for n in FIELDS], *[f"{n}_b" for n in FIELDS])
-    return narrow.mapInArrow(_feature_batches, "rep_a bigint, rep_b bigint, blind boolean, distance int, x bigint")
+    weights = [F.least(f"{n}_a", f"{n}_b").alias(n) for n in WEIGHTS]
+    narrow = joined.select("rep_a", "rep_b", blind.alias("blind"), *[f"{n}_a" for n in FIELDS], *[f"{n}_b" for n in FIELDS], *weights)
+    return narrow.mapInArrow(_feature_batches, "rep_a bigint, rep_b bigint, blind boolean, distance int, x bigint, " + ", ".join(f"{n} double" for n in WEIGHTS))
 
 
 def _scored(judged: DataFrame, model: Model) -> DataFrame:
@@ -461,8 +502,9 @@ def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5,
     ``confidence`` is the calibrated probability; pairs below ``threshold`` are left out, and so are pairs of a record
     that has a partner better by ``margin`` log-odds which means something else.
 
-    An identifier or symbol that more than ``shared`` different records of a side carry is a placeholder, not
-    evidence; their other attributes decide.
+    Every identifier and symbol is a block, however many records carry it. As evidence it is lowered by the share of
+    the names that carry it besides its usual one: whole up to ``FREE``, none where all do (a placeholder).
+    ``shared`` names more than there are count in that share, so that a few records prove little.
 
     Scale: rows that agree in every parsed attribute are one class, so copies cost one comparison. Blocks are
     counted before they are joined; one with more than ``block_pairs`` pairs is refined by every second key of
@@ -475,20 +517,21 @@ def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5,
     nothing; of equally good partners all stay; an empty side gives an empty result.
     """
     left, right = cut(left), cut(right)
-    da, db = _without_placeholders(_distinct(left), _distinct(right), shared)
+    da, db = (cut(d) for d in _with_weights(_distinct(left), _distinct(right), shared))
     schema = "rep bigint, first array<bigint>, second array<bigint>, figi string"
     ka, kb = (cut(d.select("rep", *FIELDS).mapInArrow(_key_batches, schema)) for d in (da, db))
     # Pairs found by the identifier alone are judged too, but the fit must not see them: their label chose them.
-    by_id = ka.where("figi <> ''").select(F.col("rep").alias("rep_a"), "figi").join(kb.where("figi <> ''").select(F.col("rep").alias("rep_b"), "figi"), "figi")
+    by_id = _whole(*(d.where("figi <> ''").select(F.col("rep").alias(f"rep_{s}"), F.col("figi").alias("k")) for d, s in ((ka, "a"), (kb, "b"))), block_pairs)
     found = _pairs(ka, kb, block_pairs).withColumn("blind", F.lit(True)).unionByName(by_id.select("rep_a", "rep_b", F.lit(False).alias("blind")))
     pairs = found.groupBy("rep_a", "rep_b").agg(F.max("blind").alias("blind"))
-    named = lambda d, s: d.select(F.col("rep").alias(f"rep_{s}"), *[F.col(n).alias(f"{n}_{s}") for n in FIELDS])
+    named = lambda d, s: d.select(F.col("rep").alias(f"rep_{s}"), *[F.col(n).alias(f"{n}_{s}") for n in (*FIELDS, *WEIGHTS)])
     joined = pairs.join(named(da, "a"), "rep_a").join(named(db, "b"), "rep_b")
     judged = cut(_judged(joined, F.col("blind")))
     mark = F.xxhash64("rep_a", "rep_b")
-    sample = judged.where("distance >= 0 and blind").select("distance", "x", mark.alias("h")).orderBy("h").limit(max_labelled).collect()
+    # An identifier of lowered weight is no label.
+    sample = judged.where("distance >= 0 and blind and figi_weight = 1").select("distance", "x", "root_weight", mark.alias("h")).orderBy("h").limit(max_labelled).collect()
     masks, distance, fold = (np.array([r[c] for r in sample], np.int64) for c in ("x", "distance", "h"))
-    model = fit(unpacked(masks), distance, fold)
+    model = fit(weighed(unpacked(masks), np.array([r["root_weight"] for r in sample], float)), distance, fold)
     scored = _scored(judged, model).where(F.col("confidence") >= threshold)
     kept = _without_rivals(cut(scored), named, da, db, model, margin)
     members = lambda p, d, s: p.select("sig", F.col("rec_id").alias(f"rec_{s}")).join(d.select("sig", F.col("rep").alias(f"rep_{s}")), "sig").drop("sig")

@@ -90,6 +90,25 @@ def test_placeholders_are_no_evidence(spark):
     assert {tuple(r) for r in m.match_records(recs(spark, a), recs(spark, b)).select("rec_a", "rec_b").collect()} == {(i, 1000 + i) for i in range(60)}
 
 
+def test_often_repeated_security_keeps_identifier_and_symbol(spark):
+    """Over fifty spellings of one security on each side: its rows without a name are found by identifier and symbol."""
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghiklmnoprstuvw")
+    brands = ["".join(rng.choice(letters, 9)) for _ in range(200)]
+
+    def side(first, exchange):
+        rows = [one(first + i, f"{x} Foods Inc", x[:4].upper(), exchange, day=f"20{i % 20:02d}-0{1 + i % 9}-11") for i, x in enumerate(brands)]
+        for i in range(60):
+            w = list("galumdrellov")
+            w[1 + i % 10], w[2 + i % 9] = letters[i % 21], letters[i * 7 % 21]
+            rows.append(one(first + 500 + i, f"{''.join(w)} Resources Inc", "GALU", exchange, figi="ZZGABCDEFGHI"))
+        return [*rows, one(first + 900, None, "GALU", exchange, figi="ZZGABCDEFGHI"), one(first + 901, "Other Name Foods Inc", None, exchange, figi="ZZGABCDEFGHI")]
+
+    got = {tuple(r) for r in m.match_records(recs(spark, side(0, "XNYS")), recs(spark, side(1000, "NYSE"))).select("rec_a", "rec_b").collect()}
+    assert {(900, 1500 + i) for i in range(60)} | {(500 + i, 1900) for i in range(60)} <= got
+    assert {(i, 1000 + i) for i in range(200)} <= got
+
+
 def test_fit_is_noise_aware_and_starts_from_the_prior():
     prior = m.fit(np.zeros((0, len(m.NAMES))), np.zeros(0), np.zeros(0))
     assert prior.weights[1] == m.PRIOR["name_same"]
