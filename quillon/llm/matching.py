@@ -126,31 +126,22 @@ def bands(brand: str) -> list[int]:
     return [zlib.crc32(h[i].tobytes(), i) for i in range(BANDS)]
 
 
-def keys(r: tuple) -> tuple[list[str], list[str]]:
-    """(blocking keys, second keys) of a parsed record.
-
-    Blocks: symbol with and without class letter, and MinHash bands of the present and the former brand together
-    with the trade words; records with the same identifier are paired apart from these. The second keys refine
-    blocks that are too large.
+def keys(r: tuple) -> list[str]:
+    """Blocking keys of a parsed record: symbol with and without class letter, and MinHash bands of the present and
+    the former brand together with the trade words; records with the same identifier are paired apart from these.
     """
-    figi, root, letter, _, exchange, brand, trade, _, class_, former, former_trade, _, sic, day, _ = r
-    first = []
+    _, root, letter, _, _, brand, trade, _, class_, former, former_trade, *_ = r
+    out = []
     if root:
-        first.append(f"t:{root}")
+        out.append(f"t:{root}")
         if letter:
-            first.append(f"t:{root}{letter}")
+            out.append(f"t:{root}{letter}")
         elif class_ and root[-1].lower() == class_ and len(root) > 2:
-            first.append(f"t:{root[:-1]}")
+            out.append(f"t:{root[:-1]}")
     for b, t in ((brand, trade), (former, former_trade)):
         if b:
-            first.extend(f"m:{t}:{i}:{v}" for i, v in enumerate(bands(b)))
-    second = [*first, *([f"f:{figi}"] if figi else [])]
-    second += [f"b:{b}" for b in (brand, former) if b]
-    if day >= 0:
-        second += [f"d:{day}", f"e:{day // 60}", f"e:{day // 60 + 1}"]
-    if sic or exchange:
-        second.append(f"x:{sic}:{exchange}:{class_}")
-    return list(dict.fromkeys(first)), list(dict.fromkeys(second))
+            out.extend(f"m:{t}:{i}:{v}" for i, v in enumerate(bands(b)))
+    return list(dict.fromkeys(out))
 
 
 def alike(a: str, b: str) -> float:
@@ -339,9 +330,8 @@ def hashed(key: str) -> int:
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.int64())
     for b in batches:
-        both = [keys(r) for r in zip(*(b.column(i).to_pylist() for i in range(1, len(FIELDS) + 1)), strict=True)]
-        lists = [pa.array([[hashed(k) for k in x[i]] for x in both], kind) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), *lists, b.column(1)], names=["rep", "first", "second", "figi"])
+        blocks = [[hashed(k) for k in keys(r)] for r in zip(*(b.column(i).to_pylist() for i in range(1, len(FIELDS) + 1)), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blocks, kind), b.column(1)], names=["rep", "blocks", "figi"])
 
 
 def packed(x: list[float]) -> int:
@@ -430,35 +420,6 @@ def _whole(ka: DataFrame, kb: DataFrame, most: int) -> DataFrame:
     return ca.join(cb, ["k", "i", "j"]).select("rep_a", "rep_b")
 
 
-def _pairs(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
-    """Candidate pairs (rep_a, rep_b) of two frames (rep, first, second)."""
-    ka, kb = (d.select(F.col("rep").alias(f"rep_{s}"), F.explode("first").alias("k")) for d, s in ((a, "a"), (b, "b")))
-    out, last = [], 2
-    for level in range(last + 1):
-        sizes = cut(ka.groupBy("k").agg(F.count(F.lit(1)).alias("na")).join(kb.groupBy("k").agg(F.count(F.lit(1)).alias("nb")), "k"))
-        large = F.col("na") * F.col("nb") > most
-        any_large = level < last and not sizes.where(large).isEmpty()
-        small = (sizes.where(~large) if any_large else sizes).select("k")
-        # A block that is still large after two refinements is joined whole, spread over 16 salts.
-        salts = 16 if level == last else 1
-        sa = ka.join(small, "k").withColumn("salt", F.pmod(F.xxhash64("rep_a"), F.lit(salts)))
-        sb = kb.join(small, "k").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-        out.append(sa.join(sb, ["k", "salt"]).select("rep_a", "rep_b"))
-        if not any_large:
-            break
-        hot = sizes.where(large).select("k")
-
-        def finer(df: DataFrame, side: DataFrame, rep: str, hot: DataFrame = hot) -> DataFrame:
-            rows = df.join(hot, "k").join(side.select(F.col("rep").alias(rep), "second"), rep).select(rep, "k", F.explode("second").alias("s"))
-            return rows.where("k <> s").select(rep, F.xxhash64(F.least("k", "s"), F.greatest("k", "s")).alias("k")).distinct()
-
-        ka, kb = finer(ka, a, "rep_a"), finer(kb, b, "rep_b")
-    both = out[0]
-    for more in out[1:]:
-        both = both.unionByName(more)
-    return both
-
-
 def _judged(joined: DataFrame, blind: Column) -> DataFrame:
     """(rep_a, rep_b, blind, distance, x) of pairs with the attributes of both sides."""
     weights = [F.least(f"{n}_a", f"{n}_b").alias(n) for n in WEIGHTS]
@@ -507,10 +468,8 @@ def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5,
     ``shared`` names more than there are count in that share, so that a few records prove little.
 
     Scale: rows that agree in every parsed attribute are one class, so copies cost one comparison. Blocks are
-    counted before they are joined; one with more than ``block_pairs`` pairs is refined by every second key of
-    its rows (other blocks, brand, dates, code with exchange), twice; what is still large is joined whole,
-    salted. A pair that shares a large block and no second key agrees in nothing else and cannot reach the
-    threshold. Parsed records and features are checkpointed in the shared folder. The fit collects at most
+    counted before they are joined; all are joined whole, one with more than ``block_pairs`` pairs spread over cells of
+    about as many pairs. Parsed records and features are checkpointed in the shared folder. The fit collects at most
     ``max_labelled`` pairs (those with the smallest hash), everything else covers all rows.
 
     Defined cases: any attribute may be null, empty or void; a row without identifier, symbol and name matches
@@ -518,11 +477,12 @@ def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5,
     """
     left, right = cut(left), cut(right)
     da, db = (cut(d) for d in _with_weights(_distinct(left), _distinct(right), shared))
-    schema = "rep bigint, first array<bigint>, second array<bigint>, figi string"
+    schema = "rep bigint, blocks array<bigint>, figi string"
     ka, kb = (cut(d.select("rep", *FIELDS).mapInArrow(_key_batches, schema)) for d in (da, db))
     # Pairs found by the identifier alone are judged too, but the fit must not see them: their label chose them.
     by_id = _whole(*(d.where("figi <> ''").select(F.col("rep").alias(f"rep_{s}"), F.col("figi").alias("k")) for d, s in ((ka, "a"), (kb, "b"))), block_pairs)
-    found = _pairs(ka, kb, block_pairs).withColumn("blind", F.lit(True)).unionByName(by_id.select("rep_a", "rep_b", F.lit(False).alias("blind")))
+    by_block = _whole(*(d.select(F.col("rep").alias(f"rep_{s}"), F.explode("blocks").alias("k")) for d, s in ((ka, "a"), (kb, "b"))), block_pairs)
+    found = by_block.withColumn("blind", F.lit(True)).unionByName(by_id.select("rep_a", "rep_b", F.lit(False).alias("blind")))
     pairs = found.groupBy("rep_a", "rep_b").agg(F.max("blind").alias("blind"))
     named = lambda d, s: d.select(F.col("rep").alias(f"rep_{s}"), *[F.col(n).alias(f"{n}_{s}") for n in (*FIELDS, *WEIGHTS)])
     joined = pairs.join(named(da, "a"), "rep_a").join(named(db, "b"), "rep_b")

@@ -81,6 +81,22 @@ def test_large_block_is_refined_not_dropped(spark):
     assert {(i, 1000 + i) for i in range(60)} <= cut == whole
 
 
+def test_large_block_keeps_pairs_that_agree_in_no_second_key(spark):
+    """Shortened, misspelt brands under one symbol, months apart and without a code on one side."""
+    rng = np.random.default_rng(3)
+    a, b = [], []
+    while len(a) < 30:
+        w = "".join(rng.choice(list("abcdefghiklmnoprstuvw"), 9))
+        typo = w[0] + w[2] + w[1] + w[3:6] + w[7] + w[6] + w[8]
+        if m.alike(w, typo) >= 0.8 and not set(m.bands(w)) & set(m.bands(typo)):
+            i = len(a)
+            a.append(one(i, f"{w} Foods Inc", "HOT", day=f"20{i % 20:02d}-01-11"))
+            b.append(one(1000 + i, f"{typo} Foods Inc", "HOT", day=f"20{i % 20:02d}-06-11", sic=None))
+    pa, pb = recs(spark, a), recs(spark, b)
+    got = {tuple(r) for r in m.match_records(pa, pb, shared=10**9).select("rec_a", "rec_b").collect()}
+    assert {(i, 1000 + i) for i in range(30)} <= got, "recall against all pairs, the block has 900"
+
+
 def test_placeholders_are_no_evidence(spark):
     """An identifier that every record carries neither matches records nor spoils the fit."""
     rng = np.random.default_rng(5)
