@@ -22,8 +22,8 @@ class Limits:
 
     weight: float = 0.05  # of a new value in the exponentially weighted mean and scale
     clip: float = 3.0  # scales to which a value is clipped before it updates mean and scale
-    calmest: float = 0.8  # least scale of moves, in parts of the whole series' median scale
-    wildest: float = 1.25  # greatest
+    calmest: float = 0.1  # least scale of moves, in parts of the whole series' median scale
+    wildest: float = math.inf  # greatest
     move: float = 6.5  # scales that make a move of the close suspect
     back: float = 0.5  # part of a suspect move that may remain after the step that takes it back
     back_busy: float = 0.3  # the same where the volume tells of an event

@@ -37,6 +37,17 @@ def test_no_cases():
     assert not chart(c, v, s, Limits()).any()
 
 
+def test_scale_follows_a_calm_and_a_wild_period():
+    rng = np.random.default_rng(4)
+    moves = np.concatenate((rng.normal(0, 0.002, 150), rng.normal(0, 0.03, 250)))
+    c, v, s = 50 * np.exp(np.cumsum(moves)), np.exp(rng.normal(12, 0.3, 400)).round(), np.ones(400)
+    assert not chart(c, v, s, Limits())[200:].any()
+    c[100] *= 1.06  # 30 scales of its own period
+    c[300] *= 1.5
+    m = chart(c, v, s, Limits())
+    assert m[100] == 2 and m[300] == 2 and not m[200:300].any() and not m[301:].any()
+
+
 def test_thinly_traded_idle_days():
     c, v, s = calm(seed=2)
     for a in (10, 40, 70):
