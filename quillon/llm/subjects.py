@@ -7,6 +7,7 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from statistics import median
 
 import numpy as np
 import pyarrow as pa
@@ -156,9 +157,13 @@ def sentence_subjects(hits: list[int], weight: list[float]) -> list[int]:
 
 
 def term_weights(frequency: dict[int, int], documents: int) -> list[float]:
-    """Weight of each term: its kind's weight times its rarity among all documents, 1 for a usual term."""
-    idf = [math.log((documents + 1) / (frequency.get(i, 0) + 1)) for i in range(len(TERMS))]
-    usual = math.log(documents + 1) / 2 or 1.0
+    """Weight of each term: its kind's weight times its rarity among all documents, 1 for a usual term.
+
+    Usual is the median rarity of the terms that occur, so equal shares of the documents give equal weights at any
+    number of documents; a term that doesn't occur has the greatest weight.
+    """
+    idf = [-math.log(frequency[i] / documents) if frequency.get(i) else math.inf for i in range(len(TERMS))]
+    usual = median([v for v in idf if v < math.inf] or [0.0]) or 1.0
     return [k * min(1.5, max(0.5, v / usual)) for (_, _, k), v in zip(TERMS, idf, strict=True)]
 
 

@@ -42,6 +42,12 @@ def test_calibration_keeps_the_prior_on_ties_and_few_labels():
     assert sj.calibrated(points, 0.25)["law"] == 0.22
 
 
+def test_equal_shares_give_equal_weights_at_every_size():
+    shares = {i: 1 + i % 40 for i in range(0, len(sj.TERMS), 2)}
+    small, large = (sj.term_weights({i: n * k for i, n in shares.items()}, 1000 * k) for k in (1, 1000))
+    assert max(abs(x - y) for x, y in zip(small, large, strict=True)) < 1e-9
+
+
 def test_operator(spark):
     docs = [(1, "The toy seller saw returns climb. The league named a new head coach. A. B. C. D. E.", "x"), (1, "Nothing here.", "x"), (2, None, "x"), (3, "The lender wrote off card balances.", "x"), (3, "The lender wrote off card balances.", "x"), (None, "The lender lost.", "x")]
     d = spark.createDataFrame(docs, "doc_id long, text string, subject string")
