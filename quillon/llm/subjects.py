@@ -198,8 +198,8 @@ def _shares(batches: Iterator[pa.RecordBatch], weight: list[float]) -> Iterator[
 def calibrated(points: list[tuple[str, float, bool]], prior: float, least: int = 40) -> dict[str, float]:
     """Share threshold per subject with the fewest errors on labelled pairs; ties nearest to ``prior``.
 
-    ``points`` are (subject, share, labelled). Subjects with fewer than ``least`` pairs take the threshold
-    fitted on all subjects together, and all take ``prior`` if there are too few in total.
+    ``points`` are (subject, share, labelled). A subject's own threshold is drawn to the one fitted on all subjects
+    together, as by ten times ``least`` pairs more; all take ``prior`` if there are fewer than ``least`` in total.
     """
     steps = [round(prior + k / 100, 4) for k in range(-8, 9)]
 
@@ -211,7 +211,7 @@ def calibrated(points: list[tuple[str, float, bool]], prior: float, least: int =
     out = {}
     for s in SUBJECTS:
         own = [p for p in points if p[0] == s]
-        out[s] = fit(own) if len(own) >= 10 * least else whole
+        out[s] = whole + (fit(own) - whole) * len(own) / (len(own) + 10 * least) if own else whole
     return out
 
 

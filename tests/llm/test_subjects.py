@@ -42,6 +42,12 @@ def test_calibration_keeps_the_prior_on_ties_and_few_labels():
     assert sj.calibrated(points, 0.25)["law"] == 0.22
 
 
+def test_calibration_has_no_step_at_a_number_of_labels():
+    others = [("energy", s / 1000, s >= 300) for s in range(1000)] * 3
+    few, more = (sj.calibrated(others + [("law", s / n, s >= 0.2 * n) for s in range(n)], 0.25)["law"] for n in (390, 410))
+    assert abs(few - more) < 0.01 and 0.2 < more < 0.3
+
+
 def test_equal_shares_give_equal_weights_at_every_size():
     shares = {i: 1 + i % 40 for i in range(0, len(sj.TERMS), 2)}
     small, large = (sj.term_weights({i: n * k for i, n in shares.items()}, 1000 * k) for k in (1, 1000))
