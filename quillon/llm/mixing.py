@@ -14,7 +14,7 @@ from quillon.llm.tokens import TOKENIZER, token_counts
 CLASSES = range(-2, 3)
 #: Bins of the sampling rank per power of e.
 FINE = 1024
-#: Ranks after the cut-off that may fill the last room of a source, which is less than one document.
+#: Ranks after the cut-off that are folded at once into the last room of a source, which is less than one document.
 TOPPING = 512
 
 
@@ -128,17 +128,26 @@ def mixed(
     room = at.groupBy("mix_name", "source").agg((F.first("rest") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.first("before"))).alias("room"))
     beyond = judged.where("bin > edge").select(*judged.columns).unionByName(at.where(~fits).select(*judged.columns))
     rank = F.row_number().over(Window.partitionBy("mix_name", "source").orderBy("q", "doc_id"))
-    near = beyond.join(small(room), ["mix_name", "source"]).where(F.col("n_tokens") <= F.col("room"))
-    topping = (
-        near.withColumn("n", rank)
-        .where(F.col("n") <= TOPPING)
-        .groupBy("mix_name", "source")
-        .agg(F.sort_array(F.collect_list(F.struct("q", "doc_id", "n_tokens"))).alias("next"), F.first("room").alias("room"))
-        .select("mix_name", "source", F.expr(
-            "aggregate(next, struct(double(room) as room, cast(array() as array<bigint>) as ids), (acc, x) -> if(x.n_tokens <= acc.room, "
-            "struct(acc.room - x.n_tokens as room, concat(acc.ids, array(x.doc_id)) as ids), acc)).ids"
-        ).alias("topped"))
-    )
+    beyond, state, topping = cut(beyond), room.withColumn("last", F.lit(None).cast("struct<q: double, doc_id: bigint>")), None
+    while True:  # until none of the ranks left fits; every round takes at least one document of a source
+        near = beyond.join(small(state), ["mix_name", "source"]).where((F.col("n_tokens") <= F.col("room")) & (F.col("last").isNull() | (F.struct("q", "doc_id") > F.col("last"))))
+        folded = (
+            near.withColumn("n", rank)
+            .where(F.col("n") <= TOPPING)
+            .groupBy("mix_name", "source")
+            .agg(F.sort_array(F.collect_list(F.struct("q", "doc_id", "n_tokens"))).alias("next"), F.first("room").alias("room"))
+            .select("mix_name", "source", F.expr(
+                "aggregate(next, struct(double(room) as room, cast(array() as array<bigint>) as ids), (acc, x) -> if(x.n_tokens <= acc.room, "
+                "struct(acc.room - x.n_tokens as room, concat(acc.ids, array(x.doc_id)) as ids), acc))"
+            ).alias("got"), F.element_at("next", -1).alias("end"))
+        )
+        folded = cut(folded)
+        if topping is not None and folded.isEmpty():
+            break
+        topped = folded.select("mix_name", "source", F.col("got.ids").alias("topped"))
+        topping = topped if topping is None else topping.unionByName(topped)
+        state = folded.select("mix_name", "source", F.col("got.room").alias("room"), F.struct("end.q", "end.doc_id").alias("last"))
+    topping = topping.groupBy("mix_name", "source").agg(F.flatten(F.collect_list("topped")).alias("topped"))
     given = judged.where("q is not null and (edge is null or bin < edge)").select("*", F.lit(1).alias("extra"))
     given = given.unionByName(at.where(fits).select(*judged.columns, F.lit(1).alias("extra")))
     others = beyond.join(small(topping), ["mix_name", "source"], "left")

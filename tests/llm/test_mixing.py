@@ -41,6 +41,14 @@ def test_longer_texts_are_likelier(spark):
     assert long > 1.5 * (len(picked) - long) > 0
 
 
+def test_last_room_is_filled_whatever_is_folded_at_once(spark, monkeypatch):
+    docs = [(i, "word " * (400 if i % 9 == 0 else 1 + i % 3), "a", 0, "") for i in range(1500)] + [(9000 + i, "word " * 50, "b", 0, "") for i in range(40)]
+    targets = [("m", "a", 0.5, 1), ("m", "b", 0.5, 1), ("n", "a", 0.7, 1), ("n", "b", 0.3, 1)]
+    whole = sorted(map(tuple, run(spark, docs, targets)[0].collect()))
+    monkeypatch.setattr(mx, "TOPPING", 40)
+    assert sorted(map(tuple, run(spark, docs, targets)[0].collect())) == whole
+
+
 def test_nothing_to_mix(spark):
     assert run(spark, [], [("m", "a", 1.0, 1)])[0].count() == 0
     assert run(spark, DOCS, [("m", "missing", 1.0, 1), (None, "big", 1.0, 1), ("m", "big", None, 1), ("m", "big", 0.5, 0)])[0].count() == 0
