@@ -157,6 +157,21 @@ def date_parse_variants(spark, d):
     return t.select("raw", plain_date(c).alias("plain"), stamp_date(c).alias("stamped"), compact_date(c).alias("compact"))
 
 
+@R.add(
+    "with t as (select raw_value as raw from vendor_stamp union all select unnest(["
+    + ", ".join(f"'{x}'" for x in _TEXTS)
+    + """]) as raw) select raw, case when regexp_full_match(raw, '\\d{4}-\\d{2}-\\d{2}') then try_strptime(raw, '%Y-%m-%d')::date end as plain,
+    case when regexp_matches(raw, '^\\d{4}-\\d{2}-\\d{2}') then try_strptime(raw[1:10], '%Y-%m-%d')::date end as stamped,
+    coalesce(case when regexp_full_match(raw, '\\d{8}') then strftime(try_strptime(raw, '%Y%m%d'), '%Y-%m-%d') end,
+      case when regexp_full_match(raw, '\\d{6}') then strftime(try_strptime(raw || '01', '%Y%m%d'), '%Y-%m-%d') end, raw) as compact from t"""
+)
+def date_parse_stamps(spark, d):
+    """The same parsers over every raw text of vendor_stamp and the literals."""
+    t = table(spark, d, "vendor_stamp").select(F.col("raw_value").alias("raw")).unionByName(spark.createDataFrame([(x,) for x in _TEXTS], "raw string"))
+    c = F.col("raw")
+    return t.select("raw", plain_date(c).alias("plain"), stamp_date(c).alias("stamped"), compact_date(c).alias("compact"))
+
+
 @R.add(
     """select o_orderkey, (o_orderdate::timestamp at time zone 'UTC' at time zone 'America/New_York')::date as ny_date,
     coalesce(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ'), '') as stamp,

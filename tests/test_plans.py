@@ -42,3 +42,8 @@ def test_filters_reach_the_scan(spark):
 def test_newest_row_is_a_top_one(spark):
     assert "TakeOrderedAndProject" in plan(spark, "latest_one")
     assert "WindowGroupLimit" in plan(spark, "latest_per_key")
+
+
+def test_date_parsers_read_every_stored_text(spark):
+    rows = entry.queries()["date_parse_stamps"](spark, SF)
+    assert rows.count() >= spark.read.parquet(f"{SF}/vendor_stamp.parquet").count() > 9
