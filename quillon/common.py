@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zipfile
@@ -55,24 +54,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the folder named in spark.checkpoint.dir; set one of our own only where it is unset."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all nodes see: spark.checkpoint.dir, else the checkpoint folder that the session has.
+
+    Where neither is set, a local session gets a folder of its own; on a cluster that is an error, since the executors
+    would write to their own disks.
+    """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix=f"ckpt-{os.getpid()}-"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+    sc._quillon_folder = getattr(sc, "_quillon_folder", None) or tempfile.mkdtemp(prefix="quillon-")
+    return sc._quillon_folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder path for staged files, in the shared folder of the cluster (a local one only where none is set)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quillon-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for staged files in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ship(spark: SparkSession) -> None:

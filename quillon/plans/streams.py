@@ -7,7 +7,6 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from quillon.common import clean_key, scratch, table
-from quillon.operators.partitions import read_range
 from quillon.operators.upsert import ParquetStore
 from quillon.plans.registry import Registry
 from quillon.sinks import export
@@ -62,5 +61,6 @@ def stored_range(spark, d):
     e = table(spark, d, "eod").withColumn("composite_figi", clean_key(F.col("composite_figi")))
     rows = e.where("composite_figi is not null").select(*DATA_TYPES["eod"].schema.names, F.struct("loaded_at", "eod_id").alias("seq"))
     root = scratch(spark, "eod")
-    ParquetStore(spark, root, replace(DATA_TYPES["eod"], defaults={})).merge(rows, F.col("seq"))
-    return read_range(spark, root, "event_date", "2022-06-01", "2022-06-30").select("composite_figi", "event_date", "close", "volume")
+    store = ParquetStore(spark, root, replace(DATA_TYPES["eod"], defaults={}))
+    store.merge(rows, F.col("seq"))
+    return store.read_range("2022-06-01", "2022-06-30").select("composite_figi", "event_date", "close", "volume")

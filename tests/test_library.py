@@ -4,7 +4,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from quillon import catalog, sinks
+from quillon.library import Library, Migration
 from quillon.operators.timeseries import latest_per_key, changes_only
 from quillon.operators.upsert import ParquetStore
 from quillon.streaming import ingest
@@ -93,3 +96,37 @@ def test_route_stream_and_windows(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["n"] for r in spark.table("win").collect()) == [1, 2]
+
+
+def test_library_saves_drops_counts_and_migrates(spark, tmp_path, monkeypatch):
+    lib = Library(spark, str(tmp_path / "lib"))
+    s = lib.save(catalog.Subscription("", "rates", "fred", "Economic Indicators", ("economic-indicator",)))
+    assert len(s.subscription_id) == 36
+    with pytest.raises(ValueError, match="exists"):
+        lib.save(s)
+    with pytest.raises(ValueError, match="unknown"):
+        lib.save(catalog.Subscription("x", "n", "p", "d", ("nothing",)))
+    other = lib.save(catalog.Subscription("abd99999", "n", "tiingo", "EOD", ("eod", "custom"), active=False))
+    store = lib.stores(s.subscription_id)["economic-indicator"]
+    assert store.exists() and store.read().count() == 0
+    store.merge(spark.createDataFrame([("a", date(2024, 1, 1), 1.0), ("a", date(2024, 2, 1), 2.0)], "series string, event_date date, value float"))
+    lib.count(s.subscription_id)
+    lib.set_active(s.subscription_id, False)
+    row = lib.catalog().where(F.col("subscription_id") == s.subscription_id).first()
+    assert row["total_records"] == 2 and str(row["last_obs"])[:10] == "2024-02-01" and not row["active"]
+
+    wider = T.StructType([*DATA_TYPES["economic-indicator"].schema.fields, T.StructField("unit", T.StringType())])
+    steps = [Migration(1, "unit", "economic-indicator", wider, lambda t: t.withColumn("unit", F.lit("index")))]
+    with monkeypatch.context() as m:
+        m.setattr(Library, "_record", lambda *a: (_ for _ in ()).throw(OSError))
+        with pytest.raises(OSError):
+            lib.migrate(steps)
+    versions = store.version()
+    assert [n for _, n in lib.migrate(steps)] == [1] and lib.migrate(steps) == [] and store.version() == versions, "not rewritten twice"
+    again = lib.stores(s.subscription_id)["economic-indicator"]
+    again.merge(spark.createDataFrame([("b", date(2024, 3, 1), 3.0, "percent")], wider))
+    assert sorted((r["series"], r["unit"]) for r in again.read().collect()) == [("a", "index"), ("a", "index"), ("b", "percent")]
+
+    roots = [x.root for x in lib.stores(other.subscription_id).values()]
+    lib.drop(other.subscription_id)
+    assert lib.catalog().count() == 1 and len(roots) == 2 and not any(os.path.exists(r) for r in roots)
