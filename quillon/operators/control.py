@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of the reason mask, in the order of the names that the operator returns.
-IMPOSSIBLE, SPIKE, STUCK, VOLUME_HIGH, VOLUME_LOW, SPLIT = 1, 2, 4, 8, 16, 32
-REASONS = ("impossible", "spike", "stuck", "volume_high", "volume_low", "split")
+IMPOSSIBLE, SPIKE, STUCK, VOLUME_HIGH, VOLUME_LOW, SPLIT, OPEN, PLATEAU = 1, 2, 4, 8, 16, 32, 64, 128
+REASONS = ("impossible", "spike", "stuck", "volume_high", "volume_low", "split", "open", "plateau")
+#: Reasons that say only that a reading may be wrong: it isn't known yet, or it can't be told from a lasting move.
+SUSPECT = ("open", "plateau")
 
 
 @dataclass(frozen=True)
@@ -22,14 +24,15 @@ class Limits:
 
     weight: float = 0.05  # of a new value in the exponentially weighted mean and scale
     clip: float = 3.0  # scales to which a value is clipped before it updates mean and scale
-    calmest: float = 0.1  # least scale of moves, in parts of the whole series' median scale
-    wildest: float = math.inf  # greatest
+    calmest: float = 0.1  # least scale of moves, in parts of their mean scale so far
+    memory: float = 0.005  # weight of a new move in that mean scale
     move: float = 6.5  # scales that make a move of the close suspect
     back: float = 0.5  # part of a suspect move that may remain after the step that takes it back
     back_busy: float = 0.3  # the same where the volume tells of an event
     stay: float = 0.6  # part of the move at which a second suspect day still stands
     busy: float = 3.0  # times the usual volume that tell of an event
     back_days: int = 2  # trading days within which it returns
+    plateau_days: int = 10  # trading days within which a plateau returns, which is suspect only
     repeats: int = 5  # unchanged closes after the first
     usual_repeats: float = 0.3  # share of unchanged closes up to which a source counts as moving
     volume_ratio: float = 20.0  # times the usual volume
@@ -56,7 +59,6 @@ def chart(close: np.ndarray, volume: np.ndarray, split: np.ndarray, lim: Limits)
     level = price + factor
     moves = np.abs(np.diff(level))
     moving = moves[moves > 0]
-    overall = 1.4826 * float(np.median(moving)) if len(moving) else 0.0
     surprise = np.zeros(n)
     # Days without a close take the split factor of the last close before.
     last = np.searchsorted(days, np.arange(n), side="right") - 1
@@ -64,11 +66,9 @@ def chart(close: np.ndarray, volume: np.ndarray, split: np.ndarray, lim: Limits)
     logs = np.full(n, np.nan)
     traded = volume > 0
     logs[traded] = np.log(volume[traded]) - day_factor[traded]
-    if overall > 0:
-        usual = float(np.median(logs[traded])) if traded.any() else 0.0
-        with np.errstate(invalid="ignore"):
-            busy = (logs > usual + math.log(lim.busy)) & (not thin)
-        _closes(days, level, moving, overall, busy, mask, surprise, lim)
+    if len(moving):
+        busy = _busy(logs, lim) & (not thin)
+        _closes(days, level, moving, busy, mask, surprise, lim)
     _repeats(days, close, volume, thin, mask, lim)
     _volumes(volume, logs, surprise, thin, mask, lim)
     return mask
@@ -97,15 +97,36 @@ def _splits(days: np.ndarray, price: np.ndarray, split: np.ndarray, mask: np.nda
     return out
 
 
-def _closes(days, level, moving, overall, busy, mask, surprise, lim) -> None:
+def _busy(logs: np.ndarray, lim: Limits) -> np.ndarray:
+    """Days whose volume is ``busy`` times the weighted mean of the days before."""
+    out = np.zeros(len(logs), bool)
+    at = np.flatnonzero(~np.isnan(logs))
+    if not len(at):
+        return out
+    mean, high = float(np.median(logs[at[: lim.warm_up]])), math.log(lim.busy)
+    for d in at.tolist():
+        off = logs[d] - mean
+        out[d] = off > high
+        mean += lim.weight * max(-high, min(high, off))
+    return out
+
+
+def _closes(days, level, moving, busy, mask, surprise, lim) -> None:
     """Chart of daily moves: a suspect close that comes back is flagged and leaves no trace in the chart.
 
     It comes back in one step, from the last suspect day to at most a part of that day's distance; a level that
-    wears off, step by step and after a day of event-like volume, doesn't.
+    wears off, step by step and after a day of event-like volume, doesn't. Mean and scale come from the moves before
+    (the first ``warm_up`` moves from their own median). A suspect close after which the series ends too early to tell is
+    ``open``; one that stays for more than ``back_days`` and then returns in one step is a ``plateau``.
     """
-    floor, most = lim.calmest * overall, lim.wildest * overall
-    scale = min(most, max(floor, 1.4826 * float(np.median(moving[: lim.warm_up]))))
+    scale = usual = 1.4826 * float(np.median(moving[: lim.warm_up]))
     mean, base, n, k, values = 0.0, level[0], len(level), 1, level.tolist()
+
+    def followed(deviation: float) -> None:
+        nonlocal scale, usual
+        scale = max(lim.calmest * usual, scale + lim.weight * (1.2533 * deviation - scale))
+        usual += lim.memory * (1.2533 * deviation - usual)
+
     while k < n:
         off = values[k] - base
         z = abs(off - mean) / scale
@@ -125,18 +146,32 @@ def _closes(days, level, moving, overall, busy, mask, surprise, lim) -> None:
                     k += step
                     break
             else:
+                _suspect(days, values, k, base, rest, mask, lim)
                 base = values[k]
-                scale = min(most, max(floor, scale + lim.weight * (1.2533 * min(abs(off), lim.clip * scale) - scale)))
+                followed(min(abs(off), lim.clip * scale))
                 k += 1
             continue
         if off:
             held = max(-lim.clip * scale, min(lim.clip * scale, off))
             mean += lim.weight * (held - mean)
-            scale = min(most, max(floor, scale + lim.weight * (1.2533 * abs(held - mean) - scale)))
+            followed(abs(held - mean))
         base = values[k]
         k += 1
 
 
+def _suspect(days, values, k, base, rest, mask, lim) -> None:
+    """Mark a suspect close that doesn't return in time as open or as a plateau, where it is one."""
+    off, n = values[k] - base, len(values)
+    end = k + 1
+    while end < n and end - k <= lim.plateau_days and (values[end] - base) * off > 0 and abs(values[end] - base) >= lim.stay * abs(off):
+        end += 1
+    if end == n:
+        if n - k <= lim.back_days:
+            mask[days[k:n]] |= OPEN
+    elif lim.back_days < end - k <= lim.plateau_days and abs(values[end] - base) <= rest * abs(values[end - 1] - base):
+        mask[days[k:end]] |= PLATEAU
+
+
 def _repeats(days, close, volume, thin, mask, lim) -> None:
     """Run-length counter of unchanged closes; idle days of a thinly traded source neither count nor end a run."""
     active = [int(d) for d in days if not (thin and volume[d] == 0)]
@@ -225,7 +260,9 @@ def implausible_days(
     Bits: impossible (close, split not above zero; volume below zero; in any stored copy), spike (a close far
     off the usual moves that is back within two trading days), stuck (an unchanged close repeated at least five
     times), volume_high (far above usual and no matching move of the close), volume_low (next to nothing in a
-    source that always trades), split (a split factor that the close doesn't follow).
+    source that always trades), split (a split factor that the close doesn't follow). Two more are suspicions only
+    (``SUSPECT``): open (a close far off on the last days, of which nobody knows yet whether it returns) and plateau (one
+    that returns in one step after three to ten trading days).
 
     Method: exponentially weighted control charts per source, whose mean and scale are updated with clipped
     values only, a run-length counter and physical limits. The recurrence runs in Arrow batches.

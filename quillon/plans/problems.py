@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillon.common import clean_key, squeezed, table
 from quillon.operators.asof import known_as_of
-from quillon.operators.control import implausible_rows
+from quillon.operators.control import SUSPECT, implausible_rows
 from quillon.operators.grid import regular_grid
 from quillon.operators.history import attribute_history
 from quillon.operators.instants import to_instants
@@ -82,8 +82,9 @@ def _implausible(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    """Stored rows with an implausible close, volume or split factor."""
-    return _implausible(spark, d).select("eod_id")
+    """Stored rows with an implausible close, volume or split factor; suspicions aren't among them."""
+    sure = F.size(F.array_except("reasons", F.array(*[F.lit(r) for r in SUSPECT]))) > 0
+    return _implausible(spark, d).where(sure).select("eod_id")
 
 
 def p5_reasons(spark: SparkSession, d: str) -> DataFrame:

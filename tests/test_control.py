@@ -48,6 +48,32 @@ def test_scale_follows_a_calm_and_a_wild_period():
     assert m[100] == 2 and m[300] == 2 and not m[200:300].any() and not m[301:].any()
 
 
+def test_spike_on_the_last_days_and_plateau_are_suspicions():
+    c, v, s = calm(seed=5)
+    c[-1] *= 10
+    assert chart(c, v, s, Limits()).nonzero()[0].tolist() == [119] and chart(c, v, s, Limits())[119] == 64
+    for width, bit in ((2, 2), (4, 128), (10, 128), (11, 0)):
+        c, v, s = calm(seed=5)
+        c[80 : 80 + width] *= 10
+        m = chart(c, v, s, Limits())
+        assert m.nonzero()[0].tolist() == (list(range(80, 80 + width)) if bit else []) and set(m[m > 0].tolist()) <= {bit}
+    c, v, s = calm(seed=5)
+    c[-2:] *= 1.5
+    assert set(chart(c, v, s, Limits())[-2:].tolist()) == {64}
+    c[-3:-2] *= 1.5  # three days already stand: a move that lasts, as far as anyone knows
+    assert not chart(c, v, s, Limits()).any()
+
+
+def test_flags_do_not_depend_on_later_periods():
+    rng = np.random.default_rng(7)
+    early = rng.normal(0, 0.002, 150)
+    for later in (0.002, 0.06):
+        c = 50 * np.exp(np.cumsum(np.concatenate((early, rng.normal(0, later, 250)))))
+        c[100] *= 1.03
+        m = chart(c, np.exp(np.random.default_rng(1).normal(12, 0.3, 400)).round(), np.ones(400), Limits())
+        assert m[:149].nonzero()[0].tolist() == [100], "a wild later period doesn't widen the early limits"
+
+
 def test_thinly_traded_idle_days():
     c, v, s = calm(seed=2)
     for a in (10, 40, 70):
