@@ -41,12 +41,40 @@ def test_longer_texts_are_likelier(spark):
     assert long > 1.5 * (len(picked) - long) > 0
 
 
-def test_last_room_is_filled_whatever_is_folded_at_once(spark, monkeypatch):
+def test_result_is_the_same_whatever_is_folded_or_sorted_at_once(spark):
     docs = [(i, "word " * (400 if i % 9 == 0 else 1 + i % 3), "a", 0, "") for i in range(1500)] + [(9000 + i, "word " * 50, "b", 0, "") for i in range(40)]
     targets = [("m", "a", 0.5, 1), ("m", "b", 0.5, 1), ("n", "a", 0.7, 1), ("n", "b", 0.3, 1)]
     whole = sorted(map(tuple, run(spark, docs, targets)[0].collect()))
-    monkeypatch.setattr(mx, "TOPPING", 40)
-    assert sorted(map(tuple, run(spark, docs, targets)[0].collect())) == whole
+    assert sorted(map(tuple, run(spark, docs, targets, folded_rows=4, sorted_rows=1)[0].collect())) == whole
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 7])
+def test_repeated_ids_are_documents_of_their_own(spark, seed):
+    """Every id twice with different texts, some rows three times over: the goal is missed by less than a document."""
+    docs = [(i % 300, "word " * (3 + i * 7 % 60), "a", 0, "") for i in range(600)] + [(i, "same " * 20, "a", 0, "") for i in range(10)] * 3
+    docs += [(9000, "word " * 100, "b", 0, "")] * 40
+    out, t = run(spark, docs, [("m", "a", 0.7, 1), ("m", "b", 0.3, 1)], seed=seed)
+    rows = out.collect()
+    got = {s: sum(r["n_tokens"] * r["repeats"] for r in rows if r["source"] == s) for s in "ab"}
+    supply = 40 * count("word " * 100)
+    goal = supply * 0.7 / 0.3
+    assert got["b"] == supply and goal - 3 < got["a"] <= goal, "the smallest texts have three tokens"
+    assert all(r["repeats"] == 1 for r in rows) and sum(r["source"] == "b" for r in rows) == 40
+    have = {}
+    for i, x, *_ in docs:
+        have[i, count(x)] = have.get((i, count(x)), 0) + 1
+    for r in rows:
+        have[r["doc_id"], r["n_tokens"]] -= 1
+    assert min(have.values()) >= 0
+    copies = [sum(r["doc_id"] == i and r["n_tokens"] == count("same " * 20) for r in rows) for i in range(10)]
+    assert len(set(copies)) > 1, "copies are drawn independently"
+
+
+def test_many_copies_of_one_row(spark, monkeypatch):
+    monkeypatch.setattr(mx, "LISTED", 7)
+    docs = [(1, "word " * 10, "a", 0, "")] * 50 + [(2, "word " * 10, "b", 0, "")] * 15
+    out, _ = run(spark, docs, [("m", "a", 0.5, 1), ("m", "b", 0.5, 1)])
+    assert sorted((r["source"], r["repeats"]) for r in out.collect()) == [("a", 1)] * 15 + [("b", 1)] * 15
 
 
 def test_nothing_to_mix(spark):
