@@ -19,12 +19,26 @@ BUCKETS = 256
 RANKED = 200_000
 
 
+def _bisection(n: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Levels of a bisection of 1..n-1: the middles of each level and their nearest neighbours of earlier levels (0 and n at the ends)."""
+    levels, lo, hi = [], np.array([0]), np.array([n])
+    while len(lo):
+        open_ = hi - lo > 1
+        lo, hi = lo[open_], hi[open_]
+        if len(lo):
+            mid = (lo + hi) // 2
+            levels.append((mid, lo, hi))
+            lo, hi = np.stack((lo, mid), 1).ravel(), np.stack((mid, hi), 1).ravel()
+    return levels
+
+
 def length_buckets(histogram: np.ndarray, buckets: int) -> np.ndarray:
     """Upper bounds of at most ``buckets`` length buckets with the least total padding.
 
     ``histogram[l]`` counts the items of length l. Dynamic programming over the occurring lengths: the cost of
     a bucket is the room between each item and the bucket's bound, which is its longest item. The best
-    start of a bucket never moves back as its end moves on, so each row is solved by divide and conquer.
+    start of a bucket never moves back as its end moves on, so a layer is solved level by level of a bisection, each
+    level with a few array operations over all its middles at once.
     """
     lengths = np.flatnonzero(histogram[1:]) + 1
     n = len(lengths)
@@ -32,26 +46,30 @@ def length_buckets(histogram: np.ndarray, buckets: int) -> np.ndarray:
         return lengths
     counts = histogram[lengths].astype(np.float64)
     items, tokens = np.concatenate(([0], np.cumsum(counts))), np.concatenate(([0], np.cumsum(counts * lengths)))
-    best = lengths * items[1:] - tokens[1:]
-    choice = np.zeros((buckets, n), np.int64)
+    size = lengths.astype(np.float64)
+    alone = size * items[1:] - tokens[1:]
+    best, levels = alone.copy(), _bisection(n)
+    choice = np.zeros((buckets, n), np.int32)
+    start = np.empty(n + 1, np.int64)  # best start of a last bucket that ends at each length
     for k in range(1, buckets):
-        row, stack = np.full(n, np.inf), [(0, n - 1, 0, n - 1)]
-        while stack:
-            lo, hi, a, b = stack.pop()
-            if lo > hi:
-                continue
-            mid = (lo + hi) // 2
-            starts = np.arange(max(a, 1), min(b, mid) + 1)
-            if len(starts):
-                cost = best[starts - 1] + lengths[mid] * (items[mid + 1] - items[starts]) - (tokens[mid + 1] - tokens[starts])
-                j = int(np.argmin(cost))
-                row[mid], choice[k, mid] = cost[j], starts[j]
-                stack += [(lo, mid - 1, a, int(starts[j])), (mid + 1, hi, int(starts[j]), b)]
-            else:
-                row[mid] = best[mid]
-                stack += [(lo, mid - 1, a, b), (mid + 1, hi, a, b)]
+        base = np.concatenate(([np.inf], best[:-1])) + tokens[:-1]
+        start[0], start[n] = 1, n - 1
+        row = best.copy()
+        for mid, left, right in levels:
+            first, last = start[left], np.minimum(start[right], mid)
+            width = last - first + 1
+            ends = np.cumsum(width)
+            begin = ends - width
+            js = np.arange(ends[-1]) + np.repeat(first - begin, width)
+            cost = base[js] - np.repeat(size[mid], width) * items[js]
+            least = np.minimum.reduceat(cost, begin)
+            hit = np.flatnonzero(cost == np.repeat(least, width))
+            hit = hit[np.searchsorted(hit, begin)]  # the first of each middle
+            start[mid] = js[hit]
+            row[mid] = least + alone[mid]
+        better = row < best
+        choice[k][better] = start[:n][better]
         best = np.minimum(row, best)
-        choice[k][row > best] = 0
     ends, j, k = [], n - 1, buckets - 1
     while j >= 0 and k >= 0:
         ends.append(lengths[j])

@@ -74,6 +74,16 @@ def test_documents(spark):
     assert 1 - got[got.pack_name == "l"].n_tokens.sum() / ((got[got.pack_name == "l"].container_id.max() + 1) * 128) < 0.05
 
 
+def test_bucket_bounds_of_a_dense_histogram_are_fast():
+    import time
+
+    h = np.random.default_rng(0).integers(1, 1000, 4097)
+    h[0] = 0
+    start = time.perf_counter()
+    assert len(p.length_buckets(h, 256)) == 256
+    assert time.perf_counter() - start < 2.0
+
+
 def test_empty_inputs(spark):
     assert len(run(spark, [], [("s", 8)])) == 0
     assert len(run(spark, [(1, "a", "", 0)], [])) == 0
