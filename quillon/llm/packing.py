@@ -15,8 +15,8 @@ from quillon.llm.tokens import TOKENIZER, token_counts
 
 #: Buckets of length that a pack has at most; up to this capacity every length is its own bucket.
 BUCKETS = 256
-#: Pieces that one task ranks at most, on average.
-RANKED = 200_000
+#: Rows of the offsets of all parts, buckets and packs up to which they are broadcast.
+OFFSETS = 1_000_000
 
 
 def _bisection(n: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -153,13 +153,38 @@ def place(p: Plan, bucket: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np
     return container, position
 
 
+def _ranked(batches: Iterator[pa.RecordBatch], plans: dict[str, Plan]) -> Iterator[pa.RecordBatch]:
+    """Pieces with their bucket, the number of their part (task), and their rank in the bucket inside the part."""
+    from pyspark import TaskContext
+
+    part, seen = TaskContext.get().partitionId(), {}
+    for batch in batches:
+        names, sizes = batch.column(0).dictionary_encode(), batch.column(4).to_numpy()
+        codes = names.indices.to_numpy()
+        bucket, rank = np.zeros(len(sizes), np.int32), np.zeros(len(sizes), np.int64)
+        for code, name in enumerate(names.dictionary.to_pylist()):
+            at = np.flatnonzero(codes == code)
+            own = np.where(sizes[at] == 0, -1, np.searchsorted(plans[name].bounds, sizes[at])).astype(np.int32)
+            order = np.argsort(own, kind="stable")
+            kinds, first, count = np.unique(own[order], return_index=True, return_counts=True)
+            before = np.array([seen.get((name, int(b)), 0) for b in kinds], np.int64)
+            bucket[at] = own
+            rank[at[order]] = np.arange(len(at)) + np.repeat(before - first, count)
+            for b, n in zip(kinds.tolist(), (before + count).tolist(), strict=True):
+                seen[name, b] = n
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(bucket), pa.array(np.full(len(sizes), part, np.int32)), pa.array(rank)],
+            names=[*batch.schema.names, "bucket", "part", "r"],
+        )
+
+
 def _place(batches: Iterator[pa.RecordBatch], plans: dict[str, Plan]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = np.array(batch.column(0).to_pylist(), object)
-        bucket, rank = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        container, position = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        for name in set(names.tolist()):
-            at = names == name
+        names = batch.column(0).dictionary_encode()
+        codes, bucket, rank = names.indices.to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        container, position = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        for code, name in enumerate(names.dictionary.to_pylist()):
+            at = codes == code
             container[at], position[at] = place(plans[name], bucket[at], rank[at])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(container), pa.array(position), *batch.columns[3:]],
@@ -181,9 +206,11 @@ def pack(
     token budget are formed from the longest bucket on. Within one bucket alone (``mix=False``) every container
     of a bucket above half the capacity stays with one item; ``mix`` tops a batch up with shorter buckets.
 
-    Scale: sizes are measured once per text and checkpointed in the shared folder. An item's place
-    follows from its bucket and its rank in the bucket; ranks are counted in salted sub-groups of about
-    ``RANKED`` items with offsets, so a length that a third of all texts have is no hot group.
+    Scale: sizes are measured once per text and checkpointed in the shared folder. An item's place follows from its
+    bucket and its rank in the bucket: each part (task) of the checkpoint ranks its own items as they come, and parts get
+    offsets from their counts. So no item is shuffled, whatever ids or lengths repeat; the offsets, one row per
+    part and bucket, are broadcast up to ``OFFSETS`` rows and joined by shuffle beyond. Where an item lies
+    depends on the files' layout.
 
     Defined cases: null and empty texts have no tokens and are dealt out over the containers; repeated ids are
     items of their own; packs without name or positive capacity are left out, a name given twice takes the
@@ -208,21 +235,16 @@ def pack(
     for r in pieces.groupBy("pack_name", "n_tokens").count().collect():
         histograms[r["pack_name"]][r["n_tokens"]] = r["count"]
     plans = {n: plan(h, limits[n], buckets, mix) for n, h in histograms.items()}
-    salts = max(1, -(-max(int(h.sum()) for h in histograms.values()) // RANKED))
-    # A length's bucket number, as an array per pack that the length indexes.
-    number = F.create_map(*[
-        x for n, p in plans.items()
-        for x in (F.lit(n), F.lit(np.where(np.arange(limits[n] + 1) == 0, -1, np.searchsorted(p.bounds, np.arange(limits[n] + 1))).tolist()))
-    ])
-    sub = pieces.withColumn("bucket", F.element_at(F.element_at(number, F.col("pack_name")), F.col("n_tokens").cast("int") + 1)).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts))
-    )
-    group = ["pack_name", "bucket", "salt"]
-    counts = sub.groupBy(*group).count()
-    before = F.sum("count").over(Window.partitionBy("pack_name", "bucket").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
+    kept = "pack_name string, doc_id bigint, piece int, token_start bigint, n_tokens bigint"
+    ranked = pieces.mapInArrow(lambda it: _ranked(it, plans), f"{kept}, bucket int, part int, r bigint")
+    group = ["pack_name", "bucket", "part"]
+    counts = cut(ranked.groupBy(*group).count())
+    before = F.sum("count").over(Window.partitionBy("pack_name", "bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*group, F.coalesce(before, F.lit(0)).alias("offset"))
-    ranked = sub.withColumn("r", F.row_number().over(Window.partitionBy(*group).orderBy("doc_id", "piece")) - 1).join(offsets, group)
-    return ranked.select("pack_name", "bucket", (F.col("r") + F.col("offset")).alias("rank"), "doc_id", "piece", "token_start", "n_tokens").mapInArrow(
+    if counts.count() <= OFFSETS:
+        offsets = F.broadcast(offsets)
+    rank = (F.col("r") + F.col("offset")).alias("rank")
+    return ranked.join(offsets, group).select("pack_name", "bucket", rank, "doc_id", "piece", "token_start", "n_tokens").mapInArrow(
         lambda it: _place(it, plans),
         "pack_name string, container_id bigint, position bigint, doc_id bigint, piece int, token_start bigint, n_tokens bigint",
     )

@@ -74,6 +74,16 @@ def test_documents(spark):
     assert 1 - got[got.pack_name == "l"].n_tokens.sum() / ((got[got.pack_name == "l"].container_id.max() + 1) * 128) < 0.05
 
 
+def test_repeated_rows_and_lengths_are_ranked_without_a_hot_group(spark, monkeypatch):
+    docs = [(1, "word " * 6, "x", 0)] * 300 + [(i, "word " * (1 + i % 20), "x", 0) for i in range(100)] + [(5, "", "x", 0)] * 30
+    for bound in (10**6, 0):  # offsets broadcast or joined by shuffle
+        monkeypatch.setattr(p, "OFFSETS", bound)
+        got = run(spark, docs, [("s", 32)])
+        assert len(got) == 430 and got.n_tokens.sum() == sum(count(t) for _, t, *_ in docs)
+        assert got.groupby("container_id").n_tokens.sum().max() <= 32
+        assert not got.duplicated(["container_id", "position"]).any()
+
+
 def test_bucket_bounds_of_a_dense_histogram_are_fast():
     import time
 
