@@ -7,9 +7,10 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,15 @@ TRADES = {
     "properties", "ventures", "services", "pacific", "royalty", "partners", "midstream", "acquisition", "capital", "insurance",
     "growth", "core", "bond", "dividend", "low", "volatility", "value", "ultra", "short", "income", "emerging", "markets",
     "small", "cap", "plus", "advisors",
+    "aerospace", "airlines", "automotive", "bank", "biosciences", "biotech", "brewing", "cable", "cement", "chemical", "chemicals",
+    "coal", "commodity", "computer", "copper", "cruise", "defense", "diagnostics", "digital", "education", "electric", "electronics",
+    "engineering", "entertainment", "environmental", "equity", "exploration", "fashion", "fertilizer", "forest", "gaming", "gas",
+    "gold", "grocery", "health", "healthcare", "homes", "hotels", "housing", "infrastructure", "instruments", "interactive",
+    "laboratories", "leasing", "lithium", "lumber", "machinery", "marine", "materials", "media", "metals", "minerals", "mining",
+    "mortgage", "networks", "oil", "packaging", "paper", "petroleum", "pipeline", "plastics", "power", "products", "publishing",
+    "railway", "realty", "reit", "renewable", "restaurants", "retail", "rubber", "savings", "securities", "semiconductor",
+    "semiconductors", "shipping", "silver", "solar", "solutions", "steel", "stores", "sugar", "telecom", "textiles", "therapeutics",
+    "tobacco", "trading", "transport", "transportation", "travel", "treasury", "uranium", "waste", "water", "wireless",
 }
 EXCHANGES = {
     "nasdaq": "XNAS", "nasdaqgs": "XNAS", "nasdaqgm": "XNAS", "nasdaqcm": "XNAS", "xnas": "XNAS", "nyse": "XNYS", "xnys": "XNYS",
@@ -48,9 +58,10 @@ _ETF = re.compile(r"\bexchange[\s-]traded fund\b")
 _TRUST = re.compile(r"^.*\btrust\s+-\s+(.*)$")
 _TICKER = re.compile(r"^([A-Z]{1,7})[\s./-]+([A-Z])(\d?)$")
 
-BANDS, ROWS = 32, 4
-_A = np.array([(zlib.crc32(f"a{i}".encode()) << 20 | zlib.crc32(f"A{i}".encode())) % ((1 << 31) - 1) | 1 for i in range(BANDS * ROWS)], np.uint64)
-_B = np.array([zlib.crc32(f"b{i}".encode()) for i in range(BANDS * ROWS)], np.uint64)
+#: MinHash shapes (bands, rows of a band) of the brand with the trade words, and of its first word with a side attribute.
+NAME_BANDS, SIDE_BANDS = (64, 5), (32, 3)
+#: Letters from which a trade or legal word with one wrong letter is still read as that word.
+LONG = 6
 
 #: Weights of a record's identifier and symbol as evidence, from 0 to 1.
 WEIGHTS = ("figi_weight", "root_weight")
@@ -66,10 +77,26 @@ def plain(text: str | None) -> str:
     return "" if s in VOID else s
 
 
+def _without_one(word: str) -> set[str]:
+    return {word[:i] + word[i + 1 :] for i in range(len(word))}
+
+
+_NEAR = {v: w for w in sorted(TRADES | LEGAL | set(SHORT)) if len(w) >= LONG for v in (*_without_one(w), w)}
+
+
+@lru_cache(maxsize=100_000)
+def spelled(word: str) -> str:
+    """The trade, legal or short word that this one is, or is with one letter wrong, missing, added or two swapped; else itself."""
+    if word in TRADES or word in LEGAL or word in SHORT or len(word) < LONG:
+        return word
+    return next((_NEAR[v] for v in (word, *sorted(_without_one(word))) if v in _NEAR), word)
+
+
 def _words(text: str) -> tuple[str, str, str, str]:
     """(brand, trade words, legal form, fund word) of a name without class and former name."""
     words: list[str] = []
     for w in re.sub(r"[^a-z0-9]+", " ", re.sub(r"[.']", "", text)).split():
+        w = spelled(w)
         words.extend(SHORT.get(w, w).split())
     brand = [w for w in words if w not in LEGAL and w not in FILLER and w not in FUND and w not in TRADES]
     legal = [w for w in words if w in LEGAL]
@@ -117,36 +144,60 @@ def parse(figi, ticker, exchange, name, kind, sic, day, alive) -> tuple:
     )
 
 
-def bands(brand: str) -> list[int]:
-    """MinHash band values of a brand's letter pairs."""
-    text = f"^{brand.replace(' ', '')}$"
+@lru_cache(maxsize=8)
+def _hashes(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = [zlib.crc32(f"{bands}.{rows}.{i}".encode()) for i in range(2 * bands * rows)]
+    return np.array(seeds[::2], np.uint64) << np.uint64(4) | np.uint64(1), np.array(seeds[1::2], np.uint64)
+
+
+def bands(text: str, shape: tuple[int, int]) -> list[int]:
+    """MinHash band values of a text's letter pairs; ``shape`` is the number of bands and the rows of each."""
+    text = f"^{text.replace(' ', '')}$"
     grams = {text[i : i + 2] for i in range(len(text) - 1)}
     x = np.fromiter((zlib.crc32(g.encode()) for g in grams), np.uint64, len(grams))
-    h = ((_A[:, None] * x[None, :] + _B[:, None]) % np.uint64(4294967291)).min(axis=1).reshape(BANDS, ROWS)
-    return [zlib.crc32(h[i].tobytes(), i) for i in range(BANDS)]
+    a, b = _hashes(*shape)
+    h = ((a[:, None] * x[None, :] + b[:, None]) % np.uint64(4294967291)).min(axis=1).reshape(shape)
+    return [zlib.crc32(h[i].tobytes(), i) for i in range(shape[0])]
+
 
+def keys(r: tuple, name_bands: tuple[int, int] = NAME_BANDS, side_bands: tuple[int, int] = SIDE_BANDS) -> tuple[list[str], list[str]]:
+    """Blocking keys of a parsed record across its attributes; records with the same identifier are paired apart from these.
 
-def keys(r: tuple) -> list[str]:
-    """Blocking keys of a parsed record: symbol with and without class letter, and MinHash bands of the present and
-    the former brand together with the trade words; records with the same identifier are paired apart from these.
+    First: symbol with and without class letter, and of the present and the former name MinHash bands of the brand together
+    with the trade words. Second, which find names whose trade words are written otherwise: bands of the brand's first
+    word together with the month of the first day (months overlap by 16 days) or with industry code and exchange.
     """
-    _, root, letter, _, _, brand, trade, _, class_, former, former_trade, *_ = r
-    out = []
+    _, root, letter, _, exchange, brand, trade, _, class_, former, former_trade, _, sic, day, _ = r
+    out, second = [], []
     if root:
         out.append(f"t:{root}")
         if letter:
             out.append(f"t:{root}{letter}")
         elif class_ and root[-1].lower() == class_ and len(root) > 2:
             out.append(f"t:{root[:-1]}")
+    sides = {f"d:{(day + k) // 30}" for k in (-8, 8)} if day >= 0 else set()
+    if sic and exchange:
+        sides.add(f"s:{sic}:{exchange}")
     for b, t in ((brand, trade), (former, former_trade)):
         if b:
-            out.extend(f"m:{t}:{i}:{v}" for i, v in enumerate(bands(b)))
-    return list(dict.fromkeys(out))
+            out.extend(f"m:{t}:{i}:{v}" for i, v in enumerate(bands(b, name_bands)))
+            if sides:
+                head = bands(b.split()[0], side_bands)
+                second.extend(f"{side}:{i}:{v}" for side in sorted(sides) for i, v in enumerate(head))
+    return list(dict.fromkeys(out)), list(dict.fromkeys(second))
 
 
+@lru_cache(maxsize=200_000)
 def alike(a: str, b: str) -> float:
-    """Similarity of two texts from 0 to 1."""
-    return 1.0 if a == b else SequenceMatcher(None, a, b, autojunk=False).ratio()
+    """Similarity of two texts from 0 to 1; 0 stands for any below 0.8, which is never told apart."""
+    if a == b:
+        return 1.0
+    whole = len(a) + len(b)
+    # Cheap upper bounds first: lengths, then common letters.
+    if 2 * min(len(a), len(b)) < 0.8 * whole or 2 * sum(min(a.count(c), b.count(c)) for c in set(a)) < 0.8 * whole:
+        return 0.0
+    s = SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return s if s >= 0.8 else 0.0
 
 
 def _initials(short: str, brand: str, trade: str) -> bool:
@@ -157,7 +208,7 @@ def _initials(short: str, brand: str, trade: str) -> bool:
     return all(c in rest for c in short)
 
 
-def _spelled(root: str, brand: str) -> bool:
+def _of_brand(root: str, brand: str) -> bool:
     """Whether a symbol uses letters of the brand only, from its first letter on."""
     return bool(brand) and root[:1].lower() == brand[0] and set(root.lower()) <= set(brand)
 
@@ -221,7 +272,7 @@ def features(a: tuple, b: tuple) -> list[float]:
         f["symbol_missing"] = 1.0
     elif root_a == root_b or root_a + let_a == root_b or root_b + let_b == root_a:
         f["symbol_same"], same_symbol = 1.0, True
-    elif _spelled(root_a, br_a or br_b) and _spelled(root_b, br_b or br_a):
+    elif _of_brand(root_a, br_a or br_b) and _of_brand(root_b, br_b or br_a):
         f["symbol_both_spelled"] = 1.0
     else:
         f["symbol_changed"] = 1.0
@@ -255,20 +306,50 @@ def identifier_distance(a: str, b: str) -> int:
     return 0 if not wrong else 1 if len(wrong) == 1 or swapped else 2
 
 
+#: Expected shares of equal, near and other identifiers among pairs that mean the same and among those that don't, and
+#: how many pairs the expectation counts for.
+SAME_ID, OTHER_ID, EXPECTED = (0.92, 0.04, 0.04), (0.02, 0.002, 0.978), 50.0
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weights of the logistic classifier, its calibration, and the log-odds of an equal, near and other identifier."""
+    """Weights of the logistic classifier, its calibration, and the log-odds of an equal, near and other identifier.
+
+    ``alone`` are those of a pair that no symbol or name block found: that its identifier agrees may be why it is a pair.
+    """
 
     weights: tuple[float, ...]
     scale: float = 1.0
     shift: float = 0.0
-    identifier: tuple[float, float, float] = (3.5, 3.0, -2.5)
+    identifier: tuple[float, float, float] = tuple(math.log(s / o) for s, o in zip(SAME_ID, OTHER_ID, strict=True))
+    alone: tuple[float, float, float] = identifier
 
-    def probability(self, x: np.ndarray, distance: np.ndarray, trust: np.ndarray | float = 1.0) -> np.ndarray:
+    def probability(self, x: np.ndarray, distance: np.ndarray, trust: np.ndarray | float = 1.0, blind: np.ndarray | bool = True) -> np.ndarray:
         """``trust`` is the weight of the identifiers' evidence, from 0 to 1."""
         z = self.scale * (self.weights[0] + x @ np.asarray(self.weights[1:])) + self.shift
-        z = z + trust * np.select([distance == 0, distance == 1, distance == 2], self.identifier, 0.0)
-        return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
+        odds = np.where(np.asarray(blind)[..., None], self.identifier, self.alone)
+        odds = np.where(distance >= 0, np.take_along_axis(np.broadcast_to(odds, (len(z), 3)), np.maximum(distance, 0)[:, None], 1)[:, 0], 0.0)
+        return 1.0 / (1.0 + np.exp(-np.clip(z + trust * odds, -30, 30)))
+
+
+def identifier_odds(p: np.ndarray, distance: np.ndarray) -> tuple[float, float, float]:
+    """Log-odds of an equal, near and other identifier, from the probabilities ``p`` that all other evidence gives.
+
+    The shares of the three among pairs that mean the same and those that don't are the most likely ones (expectation
+    maximisation) given ``p``, drawn to the expected shares as by ``EXPECTED`` pairs of each; so a pair's sum of
+    calibrated evidence and these log-odds is calibrated as far as the identifier errs independently.
+    """
+    same, other = np.array(SAME_ID), np.array(OTHER_ID)
+    counted = lambda w: np.bincount(distance, w, 3)
+    for _ in range(200):
+        ratio = same[distance] / other[distance]
+        q = p * ratio / (p * ratio + 1 - p)
+        new = [(counted(w) + EXPECTED * np.array(prior)) / (w.sum() + EXPECTED) for w, prior in ((q, SAME_ID), (1 - q, OTHER_ID))]
+        done = max(abs(new[0] - same).max(), abs(new[1] - other).max()) < 1e-9
+        same, other = new
+        if done:
+            break
+    return tuple(float(v) for v in np.log(same / other))
 
 
 def _newton(x: np.ndarray, y: np.ndarray, start: np.ndarray, pull: np.ndarray, noise: float) -> np.ndarray:
@@ -289,7 +370,8 @@ def fit(x: np.ndarray, distance: np.ndarray, fold: np.ndarray, noise: float = 0.
     """Fit on weakly labelled pairs: those with an identifier on both sides, positive if it is equal or near.
 
     The identifier itself is no feature, so its agreement is a label that is independent of the evidence; about
-    ``noise`` of the identifiers are wrong. Four fifths of the pairs fit the weights, one fifth calibrates them.
+    ``noise`` of the identifiers are wrong. Four fifths of the pairs fit the weights, one fifth calibrates them, and the
+    log-odds of the identifier come from all of them.
     """
     start = np.array([PRIOR["bias"], *(PRIOR[n] for n in NAMES)])
     if not len(x):
@@ -300,7 +382,9 @@ def fit(x: np.ndarray, distance: np.ndarray, fold: np.ndarray, noise: float = 0.
     w = _newton(one[train], y[train], start, np.ones(len(start)), noise)
     held = one[~train] @ w
     a, b = _newton(np.column_stack([held, np.ones(len(held))]), y[~train], np.array([1.0, 0.0]), np.array([50.0, 10.0]), noise) if len(held) else (1.0, 0.0)
-    return Model(tuple(float(v) for v in w), float(max(a, 0.1)), float(b))
+    model = Model(tuple(float(v) for v in w), float(max(a, 0.1)), float(b))
+    evidence = model.probability(x, np.full(len(x), -1))
+    return replace(model, identifier=identifier_odds(evidence, distance))
 
 
 _PARSED = "rec_id bigint, sig string, " + ", ".join(f"{n} {'int' if n == 'day' else 'string'}" for n in FIELDS)
@@ -327,11 +411,12 @@ def hashed(key: str) -> int:
     return v - (1 << 64) if v >= 1 << 63 else v
 
 
-def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key_batches(batches: Iterator[pa.RecordBatch], *shapes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.int64())
     for b in batches:
-        blocks = [[hashed(k) for k in keys(r)] for r in zip(*(b.column(i).to_pylist() for i in range(1, len(FIELDS) + 1)), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blocks, kind), b.column(1)], names=["rep", "blocks", "figi"])
+        both = [keys(r, *shapes) for r in zip(*(b.column(i).to_pylist() for i in range(1, len(FIELDS) + 1)), strict=True)]
+        blocks = [pa.array([[hashed(k) for k in ks[i]] for ks in both], kind) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), *blocks, b.column(1)], names=["rep", "blocks", "side", "figi"])
 
 
 def packed(x: list[float]) -> int:
@@ -366,7 +451,8 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x = weighed(unpacked(b.column(4).to_numpy()), b.column(6).to_numpy())
-        p = model.probability(x, b.column(3).to_numpy(), b.column(5).to_numpy())
+        blind = b.column(2).to_numpy(zero_copy_only=False)
+        p = model.probability(x, b.column(3).to_numpy(), b.column(5).to_numpy(), blind)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p)], names=["rep_a", "rep_b", "confidence"])
 
 
@@ -405,19 +491,22 @@ def _with_weights(a: DataFrame, b: DataFrame, shared: int) -> tuple[DataFrame, D
 
 
 def _whole(ka: DataFrame, kb: DataFrame, most: int) -> DataFrame:
-    """Every pair (rep_a, rep_b) of the rows (rep_a, k) and (rep_b, k) with the same k.
+    """Every pair (rep_a, rep_b, blind) of the rows (rep_a, k, blind) and (rep_b, k) with the same k.
 
     A block of more than ``most`` pairs is spread over a grid of cells that have about as many each.
     """
-    sizes = cut(ka.groupBy("k").agg(F.count(F.lit(1)).alias("na")).join(kb.groupBy("k").agg(F.count(F.lit(1)).alias("nb")), "k"))
-    side, large = max(1.0, most**0.5), F.col("na") * F.col("nb") > most
-    parts = lambda n: F.when(large, F.ceil(F.col(n) / F.lit(side))).otherwise(1)
-    grid = sizes.select("k", parts("na").alias("ga"), parts("nb").alias("gb"))
-    each = lambda g: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(g) - 1))
-    own = lambda rep, g: F.pmod(F.xxhash64(rep), F.col(g))
-    ca = ka.join(grid, "k").select("rep_a", "k", own("rep_a", "ga").alias("i"), each("gb").alias("j"))
-    cb = kb.join(grid, "k").select("rep_b", "k", each("ga").alias("i"), own("rep_b", "gb").alias("j"))
-    return ca.join(cb, ["k", "i", "j"]).select("rep_a", "rep_b")
+    both = ka.select("k", F.lit(1).alias("na"), F.lit(0).alias("nb")).unionByName(kb.select("k", F.lit(0).alias("na"), F.lit(1).alias("nb")))
+    sizes = both.groupBy("k").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
+    large = cut(sizes.where(F.col("na") * F.col("nb") > most))
+    if large.isEmpty():
+        return ka.join(kb, "k").select("rep_a", "rep_b", "blind")
+    side = max(1.0, most**0.5)
+    parts = lambda n: F.coalesce(F.ceil(F.col(n) / F.lit(side)), F.lit(1).cast("bigint"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), parts(n) - 1))
+    own = lambda rep, n: F.pmod(F.xxhash64(rep), parts(n))
+    ca = ka.join(large, "k", "left").select("rep_a", "blind", "k", own("rep_a", "na").alias("i"), each("nb").alias("j"))
+    cb = kb.join(large, "k", "left").select("rep_b", "k", each("na").alias("i"), own("rep_b", "nb").alias("j"))
+    return ca.join(cb, ["k", "i", "j"]).select("rep_a", "rep_b", "blind")
 
 
 def _judged(joined: DataFrame, blind: Column) -> DataFrame:
@@ -450,16 +539,18 @@ def _without_rivals(scored: DataFrame, named, da: DataFrame, db: DataFrame, mode
     return out.select("rep_a", "rep_b", "confidence")
 
 
-def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5, max_labelled: int = 20_000, block_pairs: int = 400, shared: int = 50, margin: float = 2.0) -> DataFrame:
+def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5, max_labelled: int = 20_000, block_pairs: int = 40_000, shared: int = 50, margin: float = 2.0, name_bands: tuple[int, int] = NAME_BANDS, side_bands: tuple[int, int] = SIDE_BANDS) -> DataFrame:
     """(rec_a, rec_b, confidence): pairs of a left and a right record that mean the same thing.
 
     ``left`` and ``right`` come from :func:`records`. Every pair of rows is listed, repeats of a record too.
 
     Method: candidates share a block: the identifier, the symbol, or a MinHash band of the brand part of the
-    present or former name together with its trade words. Each candidate pair gets similarity features of
+    present or former name together with trade words, first month, or industry code and exchange (:func:`keys`). Each
+    candidate pair gets similarity features of
     name, legal form, symbol, share class, dates, industry code, exchange and kind. A logistic classifier is
     fitted on weak labels (agreement of the identifier where both have one, which is no feature, among pairs that
-    the other blocks found) with priors on its weights, noise-aware, and calibrated on a held-out fifth; identifier evidence is added as log-odds.
+    the other blocks found) with priors on its weights, noise-aware, and calibrated on a held-out fifth; the identifier
+    adds log-odds that are fitted on the same pairs (:func:`identifier_odds`).
     ``confidence`` is the calibrated probability; pairs below ``threshold`` are left out, and so are pairs of a record
     that has a partner better by ``margin`` log-odds which means something else.
 
@@ -469,29 +560,36 @@ def match_records(left: DataFrame, right: DataFrame, *, threshold: float = 0.5,
 
     Scale: rows that agree in every parsed attribute are one class, so copies cost one comparison. Blocks are
     counted before they are joined; all are joined whole, one with more than ``block_pairs`` pairs spread over cells of
-    about as many pairs. Parsed records and features are checkpointed in the shared folder. The fit collects at most
-    ``max_labelled`` pairs (those with the smallest hash), everything else covers all rows.
+    about as many pairs, which changes no result. Parsed records and features are checkpointed in the shared folder. The
+    fit collects about ``max_labelled`` pairs (those whose hash is below a threshold, whatever the number of tasks),
+    everything else covers all rows. ``name_bands`` and ``side_bands`` are the MinHash shapes: more rows a band mean fewer
+    candidates between different names, more bands fewer misspelt names lost.
 
     Defined cases: any attribute may be null, empty or void; a row without identifier, symbol and name matches
     nothing; of equally good partners all stay; an empty side gives an empty result.
     """
     left, right = cut(left), cut(right)
     da, db = (cut(d) for d in _with_weights(_distinct(left), _distinct(right), shared))
-    schema = "rep bigint, blocks array<bigint>, figi string"
-    ka, kb = (cut(d.select("rep", *FIELDS).mapInArrow(_key_batches, schema)) for d in (da, db))
-    # Pairs found by the identifier alone are judged too, but the fit must not see them: their label chose them.
-    by_id = _whole(*(d.where("figi <> ''").select(F.col("rep").alias(f"rep_{s}"), F.col("figi").alias("k")) for d, s in ((ka, "a"), (kb, "b"))), block_pairs)
-    by_block = _whole(*(d.select(F.col("rep").alias(f"rep_{s}"), F.explode("blocks").alias("k")) for d, s in ((ka, "a"), (kb, "b"))), block_pairs)
-    found = by_block.withColumn("blind", F.lit(True)).unionByName(by_id.select("rep_a", "rep_b", F.lit(False).alias("blind")))
-    pairs = found.groupBy("rep_a", "rep_b").agg(F.max("blind").alias("blind"))
+    schema = "rep bigint, blocks array<bigint>, side array<bigint>, figi string"
+    ka, kb = (cut(d.select("rep", *FIELDS).mapInArrow(lambda it: _key_batches(it, name_bands, side_bands), schema)) for d in (da, db))
+    # Pairs found by the identifier or a side attribute alone are judged too, but the fit must not see them: that
+    # evidence chose them.
+    kinds = ((F.explode("blocks"), True), (F.explode("side"), False), (F.xxhash64(F.lit("figi"), F.nullif("figi", F.lit(""))), False))
+
+    def side(d: DataFrame, s: str) -> DataFrame:
+        parts = [(d.where("figi <> ''") if i == 2 else d).select(F.col("rep").alias(f"rep_{s}"), k.alias("k"), F.lit(blind).alias("blind")) for i, (k, blind) in enumerate(kinds)]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    pairs = _whole(side(ka, "a"), side(kb, "b").drop("blind"), block_pairs).groupBy("rep_a", "rep_b").agg(F.max("blind").alias("blind"))
     named = lambda d, s: d.select(F.col("rep").alias(f"rep_{s}"), *[F.col(n).alias(f"{n}_{s}") for n in (*FIELDS, *WEIGHTS)])
     joined = pairs.join(named(da, "a"), "rep_a").join(named(db, "b"), "rep_b")
     judged = cut(_judged(joined, F.col("blind")))
-    mark = F.xxhash64("rep_a", "rep_b")
-    # An identifier of lowered weight is no label.
-    sample = judged.where("distance >= 0 and blind and figi_weight = 1").select("distance", "x", "root_weight", mark.alias("h")).orderBy("h").limit(max_labelled).collect()
+    # An identifier of lowered weight is no label. The rows below a threshold of their hash are about ``max_labelled``.
+    labelled = judged.where("distance >= 0 and blind and figi_weight = 1").select("distance", "x", "root_weight", F.xxhash64("rep_a", "rep_b").alias("h"))
+    share = min(1.0, max_labelled / max(1, labelled.count()))
+    sample = sorted(labelled.where(F.pmod(F.col("h"), F.lit(1 << 30)) < int(share * (1 << 30))).collect())
     masks, distance, fold = (np.array([r[c] for r in sample], np.int64) for c in ("x", "distance", "h"))
-    model = fit(weighed(unpacked(masks), np.array([r["root_weight"] for r in sample], float)), distance, fold)
+    model = fit(weighed(unpacked(masks), np.array([r["root_weight"] for r in sample], float)), distance, fold >> 32)
     scored = _scored(judged, model).where(F.col("confidence") >= threshold)
     kept = _without_rivals(cut(scored), named, da, db, model, margin)
     members = lambda p, d, s: p.select("sig", F.col("rec_id").alias(f"rec_{s}")).join(d.select("sig", F.col("rep").alias(f"rep_{s}")), "sig").drop("sig")
