@@ -59,7 +59,7 @@ _TRUST = re.compile(r"^.*\btrust\s+-\s+(.*)$")
 _TICKER = re.compile(r"^([A-Z]{1,7})[\s./-]+([A-Z])(\d?)$")
 
 #: MinHash shapes (bands, rows of a band) of the brand with the trade words, and of its first word with a side attribute.
-NAME_BANDS, SIDE_BANDS = (64, 5), (32, 3)
+NAME_BANDS, SIDE_BANDS = (64, 5), (16, 3)
 #: Letters from which a trade or legal word with one wrong letter is still read as that word.
 LONG = 6
 
