@@ -53,10 +53,11 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    docs, labels = table(spark, d, "documents"), table(spark, d, "subject_label")
+    docs, labels, areas = (table(spark, d, n) for n in ("documents", "subject_label", "subject_area"))
     return subjects_of(
-        docs, labels, doc_id=docs["doc_id"], text=docs["text"], label_id=labels["doc_id"], label_subject=labels["subject"]
-    )
+        docs, labels, doc_id=docs["doc_id"], text=docs["text"], label_id=labels["doc_id"], label_subject=labels["subject"],
+        areas=areas, area=areas["subject"], covers=areas["covers"],
+    )
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
