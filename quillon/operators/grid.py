@@ -122,7 +122,8 @@ def regular_grid(
     )
     x = F.col("p") - F.col("g") - 0.5
     u = F.abs(x) / half_width
-    w = F.when(u < 1, F.pow(1 - u * u * u, F.lit(3.0)))
+    t = 1 - u * u * u
+    w = F.when(u < 1, t * t * t)
     own = F.col("i") == F.col("g")
     moments = (
         spread.withColumn("x", x)
@@ -145,7 +146,7 @@ def regular_grid(
     line = (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / det
     fit = F.when(F.col("s0") > 0, F.when(det > 1e-9 * F.col("s0") * F.col("s0"), line).otherwise(F.col("t0") / F.col("s0")))
     support = F.coalesce(F.when(F.col("s0") > 0, F.col("s0") * F.col("s0") / F.col("ww")), F.lit(0.0))
-    enough = (support >= min_support) & F.col("left").isNotNull() & F.col("right").isNotNull()
+    enough = (support >= min_support - 1e-9) & F.col("left").isNotNull() & F.col("right").isNotNull()
     out = moments.select(
         F.col("s").alias("series"), F.col("f").alias("frequency"), F.col("g").alias("period_index"),
         period_start(F.col("g"), F.col("f")).alias("period_start"), "n_readings", F.col("obs.v").alias("observed"),
