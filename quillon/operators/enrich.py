@@ -17,6 +17,14 @@ def unique_lookup(mapping: DataFrame, key: str, order: Sequence[Column]) -> Data
     return latest_per_key(mapping.where(F.col(key).isNotNull()), [key], order)
 
 
+def one_per_key(mapping: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value) with one row per key: of several values the greatest that isn't empty; map-side combined.
+
+    Vendors list a ticker twice, or reuse it, so a lookup by ticker needs this, or its rows multiply.
+    """
+    return mapping.where(F.col(key).isNotNull() & (F.coalesce(F.col(value).cast("string"), F.lit("")) != "")).groupBy(key).agg(F.max(value).alias(value))
+
+
 def enrich_left(df: DataFrame, mapping: DataFrame, key: str, value: str, missing: object = "") -> DataFrame:
     """``df`` with ``value`` looked up by ``key``; unmatched rows get ``missing``. ``mapping`` is unique by key."""
     return df.join(mapping.select(key, value), key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(missing)))
@@ -50,6 +58,25 @@ def silent(candidates: DataFrame, confirmed_keys: DataFrame, keys: Sequence[str]
     return left.where(F.datediff(as_of, F.col(last_seen)) > days)
 
 
+def delisted(stored: DataFrame, current: DataFrame, proof: DataFrame, keys: Sequence[str], as_of: Column, last_seen: str = "last_updated", days: int = 14) -> DataFrame:
+    """Stored rows that are gone, as they are to be written back: ``active`` false and ``delisted`` set.
+
+    A stored active row is gone if ``current`` lacks its key and either the vendor's list of delisted assets (``proof``: keys
+    and ``delisted``) has it, or it hasn't been seen for more than ``days`` before ``as_of``. The day of delisting is the
+    vendor's, else the day it was last seen. All other rows, and rows with a null key, are left as they are and not returned.
+    A key that ``proof`` lists more than once counts with its latest day. Upsert the result by key.
+    """
+    open_ = disappeared(stored.where(F.coalesce("active", F.lit(False)) & F.col("delisted").isNull()), current, keys)
+    for k in keys:
+        open_ = open_.where(F.col(k).isNotNull())
+    vendor = proof.groupBy(*keys).agg(F.max("delisted").alias("__q_day"), F.lit(True).alias("__q_proof"))
+    judged = open_.join(vendor, list(keys), "left")
+    silent_ = F.datediff(as_of, F.col(last_seen)) > days
+    day = F.coalesce("__q_day", F.col(last_seen)).cast(dict(stored.dtypes)["delisted"])
+    gone = judged.where(F.col("__q_proof").isNotNull() | silent_)
+    return gone.withColumns({"active": F.lit(False), "delisted": day}).select(*stored.columns)
+
+
 def new_stale_current(fresh: DataFrame, stored: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
     """``fresh`` with ``state``: new (key unknown), stale (stored stamp is older or missing), current."""
     known = stored.select(*keys, F.col(stamp).alias("__q_stamp"), F.lit(True).alias("__q_known"))
@@ -69,10 +96,13 @@ def refresh_list(states: DataFrame, order: Sequence[Column], limit: int = 100) -
 
 
 def publish(df: DataFrame, mapping: DataFrame | None, normalize: Column) -> DataFrame:
-    """Rows with an identifier, after a lookup for those without; the ticker is normalized on the way out."""
+    """Rows with an identifier, after a lookup for those without; the ticker is normalized on the way out.
+
+    A ticker that the mapping lists more than once counts once (:func:`one_per_key`), so every row stays one row.
+    """
     rows = df
     if mapping is not None:
-        found = mapping.select("ticker", F.col("composite_figi").alias("__q_figi"))
+        found = one_per_key(mapping, "ticker", "composite_figi").withColumnRenamed("composite_figi", "__q_figi")
         rows = df.join(found, "ticker", "left").withColumn("composite_figi", F.coalesce(F.nullif("composite_figi", F.lit("")), "__q_figi")).drop("__q_figi")
     return rows.where(F.coalesce(F.col("composite_figi"), F.lit("")) != "").withColumn("ticker", normalize)
 

@@ -45,3 +45,20 @@ def changes_only(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
         .where((F.col("__q_n") == 1) | ~F.col(value).eqNullSafe(F.col("__q_before")))
         .drop("__q_before", "__q_n")
     )
+
+
+def changes_against(batch: DataFrame, stored: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
+    """Rows of ``batch`` whose value differs from the one before of the same key: in the batch, or the newest that is stored.
+
+    ``order`` is a column that both have; the stored rows of a key count as before its batch rows, whatever their
+    order. A key that isn't stored yet gives its first row. Null is a value. Of stored rows with one ``order`` the one with the
+    greatest value is the newest.
+    """
+    newest = stored.groupBy(*keys).agg(F.max(F.struct(order, value)).alias("x")).select(*keys, F.col(f"x.{value}").alias("__q_stored"), F.lit(True).alias("__q_known"))
+    w = Window.partitionBy(*keys).orderBy(order, value)
+    ranked = batch.withColumns({"__q_before": F.lag(value).over(w), "__q_n": F.row_number().over(w)})
+    same = [ranked[k].eqNullSafe(newest[k]) for k in keys]
+    joined = ranked.join(newest, same, "left")
+    first = (ranked["__q_n"] == 1) & (newest["__q_known"].isNull() | ~ranked[value].eqNullSafe(newest["__q_stored"]))
+    later = (ranked["__q_n"] > 1) & ~ranked[value].eqNullSafe(ranked["__q_before"])
+    return joined.where(first | later).select(*[ranked[c] for c in batch.columns])

@@ -29,20 +29,31 @@ def image_files(assets: DataFrame) -> DataFrame:
     return x.select(F.concat("composite_figi", F.lit("-"), "k", ext).alias("name"), "content")
 
 
-def write_images(assets: DataFrame, root: str) -> None:
-    """Write image files below ``root``, which must be a file:// folder that all nodes share."""
-    if not root.startswith("file://"):
-        raise ValueError("images can be written to file:// folders only")
-    folder = root[len("file://") :]
+def write_files(files: DataFrame, root: str) -> None:
+    """Write (name, content) rows as files below ``root``, a folder or bucket that all nodes reach.
+
+    ``root`` is a path or an address that Arrow's file systems know (file, hdfs, s3, gs). A file is written beside its
+    place and moved there, so a retried task writes it again and nobody reads half of it; of rows with one name any may
+    win. Names may have folders. Rows without name or content are left out.
+    """
 
     def put(rows: Iterator) -> None:
-        import os
+        import posixpath
+
+        from pyarrow import fs as arrow
 
-        os.makedirs(folder, exist_ok=True)
+        fs, folder = arrow.FileSystem.from_uri(root) if "://" in root else (arrow.LocalFileSystem(), root)
         for r in rows:
-            staged = os.path.join(folder, f".{r['name']}.part")
-            with open(staged, "wb") as f:
-                f.write(r["content"])
-            os.replace(staged, os.path.join(folder, r["name"]))  # a retried task writes the same file again
+            goal = posixpath.join(folder, r["name"])
+            fs.create_dir(posixpath.dirname(goal), recursive=True)
+            staged = posixpath.join(posixpath.dirname(goal), f".{posixpath.basename(goal)}.part")
+            with fs.open_output_stream(staged) as out:
+                out.write(bytes(r["content"]))
+            fs.move(staged, goal)
 
-    image_files(assets).where("name is not null and content is not null").foreachPartition(put)
+    files.select("name", F.col("content").cast("binary").alias("content")).where("name is not null and content is not null").foreachPartition(put)
+
+
+def write_images(assets: DataFrame, root: str) -> None:
+    """Write the image files of assets below ``root`` (:func:`write_files`)."""
+    write_files(image_files(assets), root)

@@ -6,6 +6,7 @@ Each reader gives good rows; where rows can fail to parse, a ``*_rejects`` twin
 from __future__ import annotations
 
 import io
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions import normalize as nz
 from quillon.functions.dates import close_time, compact_date, plain_date, stamp_date
+from quillon.operators.enrich import one_per_key
 from quillon.sources.layouts import DAILY, FUNDAMENTAL, SCREENER, TICKERS
 from quillon.types import FUNDAMENTAL_MEASURES
 
@@ -155,7 +157,7 @@ def constituents(spark: SparkSession, path: str) -> DataFrame:
 def daily_metrics(spark: SparkSession, path: str, figis: DataFrame, members: DataFrame) -> DataFrame:
     """Metric records: amounts in millions become units; identifiers and membership are looked up by ticker.
 
-    ``figis`` is (ticker, composite_figi), unique by ticker; tickers without one get ''.
+    ``figis`` is (ticker, composite_figi), a ticker listed twice counts once; tickers without one get ''.
     """
     at = lambda n: _at(DAILY, n)
     ratio = lambda n, to: nz.number(at(n), "float").alias(to)
@@ -165,7 +167,7 @@ def daily_metrics(spark: SparkSession, path: str, figis: DataFrame, members: Dat
         F.coalesce(nz.millions(at("ev").try_cast("double")), F.lit(0)).alias("ev"), ratio("pe", "pe"), ratio("pb", "pb"), ratio("ps", "ps"),
         ratio("evebit", "ev_ebit"), ratio("evebitda", "ev_ebitda"),
     ).where("event_date is not null")
-    named = rows.join(figis.select("ticker", "composite_figi"), "ticker", "left").join(members.select("ticker", F.lit(True).alias("sp500")).distinct(), "ticker", "left")
+    named = rows.join(one_per_key(figis, "ticker", "composite_figi"), "ticker", "left").join(members.select("ticker", F.lit(True).alias("sp500")).distinct(), "ticker", "left")
     order = ["ticker", "composite_figi", "event_date", "market_cap", "ev", "pe", "pb", "ps", "ev_ebit", "ev_ebitda", "sp500"]
     return named.withColumns({"composite_figi": F.coalesce("composite_figi", F.lit("")), "sp500": F.coalesce("sp500", F.lit(False))}).select(*order)
 
@@ -184,7 +186,7 @@ def fundamentals(spark: SparkSession, path: str, figis: DataFrame, as_of: str) -
         plain_date(at("datekey")).alias("date_key"), plain_date(at("reportperiod")).alias("report_period"),
         F.coalesce(plain_date(at("lastupdated")), F.lit(as_of).cast("date")).alias("last_updated"), *measures,
     )
-    named = rows.join(figis.select("ticker", "composite_figi"), "ticker", "left").withColumn("composite_figi", F.coalesce("composite_figi", F.lit("")))
+    named = rows.join(one_per_key(figis, "ticker", "composite_figi"), "ticker", "left").withColumn("composite_figi", F.coalesce("composite_figi", F.lit("")))
     return named.select("event_date", "ticker", "composite_figi", "dimension", "date_key", "report_period", "last_updated", *FUNDAMENTAL_MEASURES)
 
 
@@ -237,7 +239,7 @@ def prices(spark: SparkSession, path: str, active: DataFrame, since: str | None
     rows = body.withColumn("event_date", stamp_date(F.col("date"))).where("event_date is not null")
     if since:
         rows = rows.where(F.col("event_date") >= F.lit(since).cast("date"))
-    return rows.join(active.select("ticker", "composite_figi"), "ticker").select(
+    return rows.join(one_per_key(active, "ticker", "composite_figi"), "ticker").select(
         "ticker", "composite_figi", "event_date", *[money(c).alias(c) for c in ("open", "high", "low", "close")], F.lit(None).cast("decimal(12,4)").alias("adj_close"),
         F.col("volume").cast("bigint").alias("volume"), money("divCash").alias("dividend"), F.col("splitFactor").try_cast("decimal(9,6)").alias("split_factor"),
     )
@@ -251,7 +253,7 @@ SCORES = {"value_score": "value", "growth_score": "growth", "momentum_score": "m
 
 def screener(spark: SparkSession, path: str) -> DataFrame:
     """Typed rows of screener exports; NA means 0, the event date is in the file's name."""
-    raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     there = {c: c for c in raw.columns}
     day = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-?\d{2}-?\d{2})", 1)
 
@@ -272,7 +274,7 @@ def screener(spark: SparkSession, path: str) -> DataFrame:
 
 def ratings(screened: DataFrame, figis: DataFrame) -> DataFrame:
     """Rating records of screener rows: letter scores as numbers, the rank as it is; rows without identifier or grade are dropped."""
-    named = screened.join(figis.select("ticker", "composite_figi"), "ticker")
+    named = screened.join(one_per_key(figis, "ticker", "composite_figi"), "ticker")
     grades = F.array(
         *[F.struct(F.lit(f"zacks-{a}").alias("analyst"), nz.grade(F.col(c)).alias("rating")) for c, a in SCORES.items()],
         F.struct(F.lit("zacks-rank").alias("analyst"), F.when(F.col("zacks_rank").between(1, 5), F.col("zacks_rank")).alias("rating")),
@@ -285,18 +287,39 @@ def ratings(screened: DataFrame, figis: DataFrame) -> DataFrame:
 MAPPED = "ticker string, figi string, share_class string, security_type string, security_type2 string"
 
 
-def map_identifiers(tickers: DataFrame, answer: Callable[[list[str]], list[dict]], batch: int = 100) -> DataFrame:
-    """Answers of an identifier service for distinct tickers, at most ``batch`` a request.
+def map_identifiers(tickers: DataFrame, answer: Callable[[list[str]], list[dict]], batch: int = 100, retries: int = 3, wait: float = 1.0) -> DataFrame:
+    """Answers of an identifier service for distinct tickers, ``batch`` a request.
 
     ``answer`` takes a list of tickers and gives a dict per ticker with the columns of ``MAPPED`` (missing keys are
-    null). It runs on the executors; a service behind it is asked once per request.
+    null). It runs on the executors; a service behind it is asked once per request. A request that fails is repeated
+    up to ``retries`` times, ``wait`` seconds later and twice as long each time; the last failure fails the job. Requests are
+    formed over all tickers, so only the last of a task may be short, and tasks have thousands of tickers each.
     """
 
+    def asked(names: list[str]) -> list[dict]:
+        for attempt in range(retries + 1):
+            try:
+                found = answer(names)
+                break
+            except Exception:
+                if attempt == retries:
+                    raise
+                time.sleep(wait * 2**attempt)
+        if len(found) != len(names):
+            raise ValueError(f"{len(found)} answers to {len(names)} tickers")
+        return found
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in MAPPED.split(", ")]
+        names, waiting = [c.split()[0] for c in MAPPED.split(", ")], []
+        rows = lambda found: pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in found], pa.string()) for n in names], names=names)
         for b in batches:
-            for start in range(0, b.num_rows, batch):
-                found = answer(b.column(0).slice(start, batch).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in found], pa.string()) for n in names], names=names)
-
-    return tickers.select("ticker").where("ticker is not null").distinct().mapInArrow(ask, MAPPED)
+            waiting += b.column(0).to_pylist()
+            while len(waiting) >= batch:
+                yield rows(asked(waiting[:batch]))
+                waiting = waiting[batch:]
+        if waiting:
+            yield rows(asked(waiting))
+
+    distinct = tickers.select("ticker").where("ticker is not null").distinct()
+    # Adaptive execution leaves few tasks for few tickers, so requests are full.
+    return distinct.mapInArrow(ask, MAPPED)

@@ -33,8 +33,10 @@ def test_images(spark, tmp_path):
     sinks.write_images(a, f"file://{tmp_path}/img")
     assert sorted(os.listdir(tmp_path / "img")) == ["F1-icon.jpg", "F1-logo.svg", "F3-logo.png"]
     assert sinks.image_files(a).where("name is null").count() == 1
-    with pytest.raises(ValueError):
-        sinks.write_images(a, "/tmp/x")
+    sinks.write_images(a, f"{tmp_path}/plain/deep")
+    assert sorted(os.listdir(tmp_path / "plain" / "deep")) == ["F1-icon.jpg", "F1-logo.svg", "F3-logo.png"]
+    with pytest.raises(Exception, match="nowhere"):
+        sinks.write_images(a, "nowhere://x/y")
 
 
 def test_export_by_year(spark, tmp_path):

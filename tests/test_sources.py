@@ -1,4 +1,5 @@
 import json
+import os
 import zipfile
 from datetime import date
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions import normalize as nz
-from quillon.operators.enrich import apply_identifiers, disappeared
+from quillon.operators.enrich import apply_identifiers, disappeared, publish
 from quillon.sources import readers as rd
 from quillon.sources.layouts import FUNDAMENTAL, SCREENER, TICKERS
 from quillon.sources.paged import register
@@ -48,15 +49,67 @@ def test_tickers_details_and_paging(spark, tmp_path):
     assert got["BRK/A"]["headquarters"] == "Omaha, NE" and got["B"]["headquarters"] == "" and got["C"]["sic_code"] == 0
     assert got["C"]["primary_exchange"] == "ARCX" and got["C"]["composite_figi"] == ""
     register(spark)
-    src = spark.read.format("paged_tickers").option("path", p)
+    src = spark.read.format("paged_json").option("path", p)
     assert src.load().count() == 4 and src.load().rdd.getNumPartitions() == 3
-    assert src.option("maxPages", 2).load().count() == 3
+    with pytest.raises(Exception, match="3 pages"):
+        src.option("maxPages", 2).load().count()
+    assert src.option("maxPages", 2).option("more", "stop").load().count() == 3
     d = put(tmp_path / "d" / "x.json", {"results": row("X", sic_code="3571", branding={"icon_url": "i"})})
     assert rd.ticker_details(spark, d).first()["sic_code"] == 3571
     stored = spark.createDataFrame([("BRK/A", ""), ("GONE", "")], "ticker string, composite_figi string")
     assert [r["ticker"] for r in disappeared(stored, rd.ticker_pages(spark, p), ["ticker", "composite_figi"]).collect()] == ["GONE"]
 
 
+def test_paged_rows_of_any_schema_in_batches_and_streams(spark, tmp_path):
+    register(spark)
+    put(tmp_path / "p" / "part-2.json", {"datatable": {"data": [["b", 2.5, "2024-01-02", True], ["c", "x", None]]}})
+    p = put(tmp_path / "p" / "part-1.json", {"datatable": {"data": [["a", 1, "bad", "false"]]}})
+    options = {"path": p, "pattern": r"part-(\d+)\.json", "rows": "datatable.data"}
+    ddl = "k string, v double, d date, ok boolean"
+    rows = [("a", 1.0, None, False), ("b", 2.5, date(2024, 1, 2), True), ("c", None, None, None)]
+    assert [tuple(r) for r in spark.read.format("paged_json").schema(ddl).options(**options).load().orderBy("k").collect()] == rows
+    stream = spark.readStream.format("paged_json").schema(ddl).options(**options).load()
+    for number, more, n in ((0, None, 3), (10, {"datatable": {"data": [["d", 4, None, None]]}}, 4), (11, {"datatable": None}, 4)):
+        if more:
+            put(tmp_path / "p" / f"part-{number}.json", more)
+        q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "out")).count() == n
+
+
+def test_lookups_of_a_ticker_listed_twice_do_not_multiply_rows(spark, tmp_path):
+    figis = spark.createDataFrame([("A", "F" * 12), ("A", "G" * 12), ("A", ""), (None, "H" * 12)], "ticker string, composite_figi string")
+    members = spark.createDataFrame([("A",), ("A",)], "ticker string")
+    p = put(tmp_path / "m" / "m.json", table([["A", "2024-01-02", "x", 1.5, None, 0, 2.0, 1, 2, 3]]))
+    assert [r["composite_figi"] for r in rd.daily_metrics(spark, p, figis, members).collect()] == ["G" * 12]
+    f = put(tmp_path / "f" / "f.json", table([["A", "ARQ", "2023-12-31", "2024-02-01", "2023-12-30", "bad", *range(6, 111)]]))
+    assert rd.fundamentals(spark, f, figis, "2024-03-01").count() == 1
+    q = put(tmp_path / "p" / "A.json", [{"date": "2024-01-02T00:00:00.000Z", "close": 1, "volume": 5}])
+    assert rd.prices(spark, q, figis).count() == 1
+    rows = spark.createDataFrame([("A", ""), ("B", "")], "ticker string, composite_figi string")
+    assert [tuple(r) for r in publish(rows, figis, F.col("ticker")).collect()] == [("A", "G" * 12)]
+
+
+def test_identifier_requests_are_full_and_repeated(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def answer(batch, folder=str(log)):
+        import os
+        import uuid
+
+        first = not os.listdir(folder)
+        open(f"{folder}/{len(batch)}-{uuid.uuid4().hex}", "w").close()
+        if first:
+            raise OSError("busy")
+        return [{"ticker": t, "figi": f"F{t}"} for t in batch]
+
+    found = rd.map_identifiers(spark.range(95).select(F.col("id").cast("string").alias("ticker")).coalesce(1), answer, 10, wait=0.01)
+    assert found.collect() and sorted({int(n.split("-")[0]) for n in os.listdir(log)}) == [5, 10]
+    with pytest.raises(Exception, match="answers to"):
+        rd.map_identifiers(spark.createDataFrame([("x",)], "ticker string"), lambda b: [], 10).collect()
+
+
 def test_holidays(spark, tmp_path):
     rows = [{"date": "2024-07-03", "exchange": "NYSE", "name": "Eve", "close": "2024-07-03T17:00:00.000Z", "status": "early-close"}, {"date": "2024-07-04", "exchange": "NYSE", "name": "Day", "status": "closed"}, {"date": "bad", "exchange": "NYSE"}]
     got = [tuple(r) for r in rd.holidays(spark, put(tmp_path / "h" / "h.json", rows)).orderBy("event_date").collect()]
