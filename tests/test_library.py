@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from quillon import catalog, sinks
 from quillon.library import Library, Migration
-from quillon.operators.timeseries import latest_per_key, changes_only
+from quillon.operators.enrich import delisted
+from quillon.operators.timeseries import changes_against, changes_only, latest_per_key
 from quillon.operators.upsert import ParquetStore
 from quillon.streaming import ingest
 from quillon.types import DATA_TYPES
@@ -54,6 +55,25 @@ def test_newest_and_changes_per_security(spark):
     assert sorted((x["figi"], x["day"]) for x in latest_per_key(r, ["figi"], [F.desc("day")]).collect()) == [("A", 6), ("B", 4)]
 
 
+def test_changes_against_the_store(spark):
+    ddl = "k string, day int, v int"
+    stored = spark.createDataFrame([("a", 1, 1), ("a", 9, 2), ("a", 9, 1), ("n", 1, None), (None, 1, 5)], ddl)
+    batch = spark.createDataFrame([("a", 3, 2), ("a", 4, 2), ("a", 5, 3), ("new", 1, None), ("n", 2, None), ("n", 3, 1), (None, 2, 5)], ddl)
+    got = sorted(map(tuple, changes_against(batch, stored, ["k"], "day", "v").collect()), key=str)
+    assert got == [("a", 5, 3), ("n", 3, 1), ("new", 1, None)]
+    assert changes_against(batch, stored.limit(0), ["k"], "day", "v").count() == 6 and changes_against(batch.limit(0), stored, ["k"], "day", "v").count() == 0
+
+
+def test_delisted_rows_are_confirmed_or_silent(spark):
+    day = date(2024, 1, 1)
+    rows = [("here", True, None, day), ("proven", True, None, date(2024, 2, 28)), ("silent", True, None, day), ("fresh", True, None, date(2024, 2, 28)), ("off", False, None, day), ("old", True, day, day), (None, True, None, day)]
+    stored = spark.createDataFrame(rows, "ticker string, active boolean, delisted date, last_updated date")
+    current = spark.createDataFrame([("here",), ("here",)], "ticker string")
+    proof = spark.createDataFrame([("proven", date(2024, 2, 1)), ("proven", date(2024, 2, 2)), ("here", day)], "ticker string, delisted date")
+    got = {r["ticker"]: (r["active"], r["delisted"]) for r in delisted(stored, current, proof, ["ticker"], F.lit("2024-03-01").cast("date")).collect()}
+    assert got == {"proven": (False, date(2024, 2, 2)), "silent": (False, day)}
+
+
 def test_observed_rows(spark, tmp_path):
     from pyspark.sql import Observation
 
