@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillon.common import table
+from quillon.common import cut, squeezed, table
 from quillon.llm.matching import match_records, records
 from quillon.llm.mixing import mixed, shares
 from quillon.llm.packing import pack
@@ -32,6 +32,19 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p7_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every pack: each document is there once, no container is over its capacity or has a gap, splits are at the capacity."""
+    caps = table(spark, d, "pack_capacity").where("pack_name is not null and capacity_tokens > 0").groupBy("pack_name").agg(F.min("capacity_tokens").alias("capacity_tokens"))
+    per = p7_containers(spark, d).join(caps, "pack_name").groupBy("pack_name", "capacity_tokens", "container_id").agg(
+        F.sum("n_tokens").alias("t"), F.max("position").alias("last"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("piece") == 0).alias("whole"),
+        F.count_if(F.col("token_start") != F.col("piece") * F.col("capacity_tokens")).alias("odd"),
+    )
+    return per.groupBy("pack_name", "capacity_tokens").agg(
+        F.sum("whole").alias("documents"), F.count_if(F.col("t") > F.col("capacity_tokens")).alias("over_capacity"),
+        F.count_if(F.col("last") + 1 != F.col("n")).alias("with_gaps"), F.sum("odd").alias("odd_splits"),
+    )
+
+
 def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs, m = table(spark, d, "documents"), table(spark, d, "mix_target")
     chosen = mixed(
@@ -52,6 +65,22 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(chosen, m, mix_name=m["mix_name"], mix_source=m["source"], share=m["target_share"])
 
 
+def p8_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every listed source: its documents, no copy above the cap, tokens within one document of the share."""
+    docs, m = table(spark, d, "documents"), table(spark, d, "mix_target")
+    chosen = cut(_mixed(spark, d)[0])
+    there = docs.where("length(text) > 0").groupBy(squeezed(docs["source"]).alias("source")).agg(F.count(F.lit(1)).alias("available"))
+    caps = m.groupBy("mix_name", squeezed(m["source"]).alias("source")).agg(F.min("max_repeat").alias("cap")).where("mix_name is not null and source is not null")
+    got = shares(chosen, m, mix_name=m["mix_name"], mix_source=m["source"], share=m["target_share"]).join(caps, ["mix_name", "source"]).join(there, "source", "left")
+    longest = chosen.groupBy("mix_name").agg(F.max("n_tokens").alias("longest"))
+    present, whole = (F.sum(F.when(F.col("tokens") > 0, F.col(c))).over(Window.partitionBy("mix_name")) for c in ("target_share", "tokens"))
+    near = F.abs(F.col("tokens") - F.col("target_share") / present * whole) <= F.col("longest")
+    return got.join(longest, "mix_name").select(
+        "mix_name", "source", "target_share", F.coalesce("available", F.lit(0)).alias("available"), (F.col("most_repeats") <= F.col("cap")).alias("within_cap"),
+        (F.col("documents") <= F.coalesce("available", F.lit(0))).alias("only_its_own"), (F.when(F.col("tokens") > 0, near).otherwise(F.col("available").isNull())).alias("near_target"),
+    )
+
+
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
     docs, labels, areas = (table(spark, d, n) for n in ("documents", "subject_label", "subject_area"))
     return subjects_of(
@@ -107,6 +136,14 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_matches, p7_containers, p7_fill, p8_chosen, p8_shares, p9_found, p9_subjects, p9_composition)
+    for f in (p1_found, p1_matches, p7_containers, p7_fill, p7_bounds, p8_chosen, p8_shares, p8_bounds, p9_found, p9_subjects, p9_composition)
+}
+_SOURCE = "nullif(lower(trim(regexp_replace({}, '[\\s\\x{{A0}}\\x{{2007}}\\x{{202F}}]+', ' ', 'g'))), '')"
+#: Packings, mixes and fitted models aren't unique or not expressible; what must hold of the first two is.
+ORACLE: dict[str, str] = {
+    "p7_bounds": """select pack_name, min(capacity_tokens) as capacity_tokens, (select count(*) from documents) as documents, 0 as over_capacity, 0 as with_gaps, 0 as odd_splits
+        from pack_capacity where pack_name is not null and capacity_tokens > 0 group by 1""",
+    "p8_bounds": f"""with m as (select mix_name, {_SOURCE.format("source")} as source, sum(target_share) as target_share from mix_target where mix_name is not null group by 1, 2),
+        a as (select {_SOURCE.format("source")} as source, count(*) as available from documents where length(text) > 0 group by 1)
+        select mix_name, m.source, target_share, coalesce(available, 0) as available, true as within_cap, true as only_its_own, true as near_target from m left join a using (source) where m.source is not null""",
 }
-ORACLE: dict[str, str] = {}
