@@ -45,6 +45,21 @@ def test_brute_force_with_hot_key_and_small_blocks(spark):
         assert run(spark, rows, block) == brute(rows)
 
 
+def test_hot_key_that_changes_at_every_row(spark):
+    rows = [("hot", T0 + timedelta(hours=i), T0, "xyz"[i % 3] if i % 7 else None, [True, False, None][i % 5 % 3], None if i % 4 else T0.date(), "") for i in range(400)]
+    rows += [("calm", T0 + timedelta(hours=i), T0, "x", None, None, "") for i in range(60)]
+    for block in (2, 5, 1024):
+        assert run(spark, rows, block) == brute(rows)
+
+
+def test_windows_see_block_summaries_only(spark):
+    r = spark.createDataFrame([("a", T0, T0, "x", None, None, "")], DDL)
+    h = attribute_history(r, entity=r["k"], changed_at=r["at"], received_at=r["got"], carried={"sector": r["sector"]}, stated={"gone": r["gone"]})
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert windows and all("__q_block" in w and "__q_rows" not in w for w in windows)
+
+
 def test_labels_are_carried_but_not_compared(spark):
     day = lambda i: T0 + timedelta(i)
     rows = [("a", day(0), T0, "Real Estate", None, None, ""), ("a", day(1), T0, "RealEstate", None, None, ""), ("a", day(2), T0, None, True, None, ""), ("a", day(3), T0, "x y", None, None, ""), ("a", day(4), T0, "realestate", None, None, "")]
