@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillon.functions.english import english_terms
+
 # Vendor exchange names to codes.
 EXCHANGES = {
     "BATS": "BATS", "NASDAQ": "XNAS", "NMFQS": "NMFQS", "NYSE": "XNYS", "NYSEARCA": "ARCX", "NYSE ARCA": "ARCX",
@@ -140,11 +142,14 @@ def blocked(url: Column) -> Column:
     return hit
 
 
-def weighted_terms(parts: Mapping[str, Column]) -> Column:
-    """Array of (term, weight): the words of each text with the text's weight letter."""
+def weighted_terms(parts: Mapping[str, Column], english: bool = False) -> Column:
+    """Array of (term, weight): the words of each text with the text's weight letter.
+
+    With ``english``, stop words are left out and the others stemmed, which needs Python; without, words stay as they are.
+    """
 
     def weighted(c: Column, weight: str) -> Column:
-        words = F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9]+"), lambda x: x != "")
+        words = english_terms(c) if english else F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9]+"), lambda x: x != "")
         return F.transform(words, lambda x: F.struct(x.alias("term"), F.lit(weight).alias("weight")))
 
     return F.concat(*[weighted(c, w) for w, c in parts.items()])

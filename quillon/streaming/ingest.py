@@ -12,9 +12,12 @@ from quillon.operators.enrich import REJECTS, route
 from quillon.operators.upsert import ParquetStore
 
 
-def merge_stream(stream: DataFrame, store: ParquetStore, seq: Column, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def merge_stream(stream: DataFrame, store: ParquetStore, seq: Column, checkpoint: str, available_now: bool = True, every: str | None = None) -> StreamingQuery:
     """Merge a stream of one record type into its store, a micro-batch at a time.
 
+    It ends with what is there now, or, with ``available_now=False``, runs on: as data comes, or at the interval ``every``
+    (such as ``5 minutes``).
+
     The merge is keyed and idempotent, so a batch that is replayed after a failure changes nothing; late and
     corrected rows replace earlier ones by key instead of waiting for a watermark.
     """
@@ -24,7 +27,9 @@ def merge_stream(stream: DataFrame, store: ParquetStore, seq: Column, checkpoint
             store.merge(batch, seq)
 
     writer = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return (writer.trigger(processingTime=every) if every else writer).start()
 
 
 def route_stream(stream: DataFrame, subscriptions: DataFrame, kinds: Mapping[str, str], stores: Mapping[str, ParquetStore], seq: Callable[[], Column], rejects: str, checkpoint: str) -> StreamingQuery:
