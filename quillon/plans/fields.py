@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillon import catalog
 from quillon.common import table
+from quillon.functions import measures as ms
 from quillon.functions import normalize as nz
 from quillon.functions.dates import iso_micros
 from quillon.plans.registry import Registry
@@ -104,11 +105,11 @@ def key_guard(spark, d):
     return table(spark, d, "rating").groupBy(fate.alias("fate"), "analyst").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add("select * from (select count(*) as hits, min(c_custkey) as first_key from customer where starts_with(c_name, 'Customer#00000001')) where hits > 0")
+@R.add("select c_name as subscription_id, c_mktsegment as name from customer where starts_with(c_name, 'Customer#000000001')")
 def prefix_lookup(spark, d):
-    """Prefix of an id with the number of hits, so that an ambiguous one shows."""
-    c = table(spark, d, "customer").where(F.col("c_name").startswith("Customer#00000001"))
-    return c.agg(F.count(F.lit(1)).alias("hits"), F.min("c_custkey").alias("first_key")).where("hits > 0")
+    """The one row whose id begins with a prefix; several would be an error."""
+    c = table(spark, d, "customer").select(F.col("c_name").alias("subscription_id"), F.col("c_mktsegment").alias("name"))
+    return catalog.find(c, "Customer#000000001")
 
 
 @R.add("select r_regionkey, r_name from region order by r_regionkey limit 1")
@@ -164,13 +165,17 @@ def json_struct(spark, d):
 
 @R.add(
     """select fundamental_id, market_capitalization + total_debt as gross_value, net_income_common_stock / nullif(revenues, 0)::double as profit_margin,
-    total_debt / nullif(equity, 0)::double as debt_to_equity, total_assets - equity as liabilities from fundamental"""
+    total_debt / nullif(equity, 0)::double as debt_to_equity, total_assets - equity as liabilities, net_income_common_stock / nullif(total_assets, 0)::double as roa,
+    net_income_common_stock / nullif(equity, 0)::double as roe, revenues / nullif(total_assets, 0)::double as asset_turnover,
+    equity / nullif(shares_basic, 0)::double as book_value_per_share, market_capitalization / nullif(equity, 0)::double as pb from fundamental"""
 )
 def derived_metrics(spark, d):
-    over = lambda a, b: (F.col(a) / F.nullif(F.col(b), F.lit(0))).cast("double")
+    income, revenues, assets, debt, equity, shares, cap = (F.col(c) for c in ("net_income_common_stock", "revenues", "total_assets", "total_debt", "equity", "shares_basic", "market_capitalization"))
     return table(spark, d, "fundamental").select(
-        "fundamental_id", (F.col("market_capitalization") + F.col("total_debt")).alias("gross_value"), over("net_income_common_stock", "revenues").alias("profit_margin"),
-        over("total_debt", "equity").alias("debt_to_equity"), (F.col("total_assets") - F.col("equity")).alias("liabilities"),
+        "fundamental_id", ms.gross_value(cap, debt).alias("gross_value"), ms.profit_margin(income, revenues).alias("profit_margin"),
+        ms.debt_to_equity(debt, equity).alias("debt_to_equity"), ms.liabilities(assets, equity).alias("liabilities"), ms.return_on_assets(income, assets).alias("roa"),
+        ms.return_on_equity(income, equity).alias("roe"), ms.asset_turnover(revenues, assets).alias("asset_turnover"),
+        ms.book_value_per_share(equity, shares).alias("book_value_per_share"), ms.price_to_book(cap, equity).alias("pb"),
     )
 
 
