@@ -94,17 +94,17 @@ _ENDINGS = frozenset(terms.ENDINGS)
 
 def _found(text: str, lex: Lexicon) -> list[tuple[int, list[int]]]:
     """(place, numbers) of the phrases in a cleaned text, each a whole word or words; those inside a longer one are left out."""
-    raw = []
+    raw, length = [], len(text)
     for end, (size, shapes) in lex.automaton.iter(text):
         start, after = end - size + 1, end + 1
         inside = start > 0 and text[start - 1].isalnum()
-        stop = after
-        while stop < len(text) and stop - after < 5 and (text[stop].isalnum() or text[stop] in "'’"):
-            stop += 1
-        if (stop < len(text) and text[stop].isalnum()) or text[after:stop].rstrip("'’") not in _ENDINGS and text[after:stop] not in _ENDINGS:
-            ids = [i for i, left, right in shapes if right and (left or not inside)]
-        else:
-            ids = [i for i, left, _ in shapes if left or not inside]
+        whole = True
+        if after < length and text[after].isalnum():  # the word goes on; an apostrophe ends it
+            stop = after + 1
+            while stop < length and stop - after < 4 and text[stop].isalnum():
+                stop += 1
+            whole = text[after:stop] in _ENDINGS
+        ids = [i for i, left, right in shapes if (whole or right) and (left or not inside)]
         if ids:
             raw.append((start, -after, ids))
     raw.sort(key=lambda h: h[:2])

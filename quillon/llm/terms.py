@@ -9,7 +9,7 @@ vocabulary of your own to ``subjects_of`` for other subjects or languages.
 from __future__ import annotations
 
 #: Endings that a term's last word may take.
-ENDINGS = ("", "s", "es", "e", "n", "en", "er", "ern", "em", "d", "ed", "ing", "ings", "'s", "’s")
+ENDINGS = ("s", "es", "e", "n", "en", "er", "ern", "em", "d", "ed", "ing")
 
 STRONG, PLAIN, WEAK = 2.0, 1.0, 0.5
 
