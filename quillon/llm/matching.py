@@ -150,41 +150,59 @@ def _hashes(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(seeds[::2], np.uint64) << np.uint64(4) | np.uint64(1), np.array(seeds[1::2], np.uint64)
 
 
-def bands(text: str, shape: tuple[int, int]) -> list[int]:
+def _mixed(v: np.ndarray) -> np.ndarray:
+    """Well-spread 64-bit numbers of others, by shifts and multiplications modulo 2 ** 64."""
+    v = (v ^ (v >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    v = (v ^ (v >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return v ^ (v >> np.uint64(31))
+
+
+@lru_cache(maxsize=200_000)
+def bands(text: str, shape: tuple[int, int]) -> np.ndarray:
     """MinHash band values of a text's letter pairs; ``shape`` is the number of bands and the rows of each."""
     text = f"^{text.replace(' ', '')}$"
     grams = {text[i : i + 2] for i in range(len(text) - 1)}
     x = np.fromiter((zlib.crc32(g.encode()) for g in grams), np.uint64, len(grams))
     a, b = _hashes(*shape)
     h = ((a[:, None] * x[None, :] + b[:, None]) % np.uint64(4294967291)).min(axis=1).reshape(shape)
-    return [zlib.crc32(h[i].tobytes(), i) for i in range(shape[0])]
+    return _mixed(h @ a[: shape[1]] + _mixed(b[: shape[0]]))  # the rows of a band and its number as one
 
 
-def keys(r: tuple, name_bands: tuple[int, int] = NAME_BANDS, side_bands: tuple[int, int] = SIDE_BANDS) -> tuple[list[str], list[str]]:
-    """Blocking keys of a parsed record across its attributes; records with the same identifier are paired apart from these.
+def keys(r: tuple, name_bands: tuple[int, int] = NAME_BANDS, side_bands: tuple[int, int] = SIDE_BANDS) -> tuple[np.ndarray, np.ndarray]:
+    """Blocking keys of a parsed record across its attributes as 64-bit numbers (a collision only adds a candidate); records
+    with the same identifier are paired apart from these.
 
     First: symbol with and without class letter, and of the present and the former name MinHash bands of the brand together
     with the trade words. Second, which find names whose trade words are written otherwise: bands of the brand's first
     word together with the month of the first day (months overlap by 16 days) or with industry code and exchange.
     """
     _, root, letter, _, exchange, brand, trade, _, class_, former, former_trade, _, sic, day, _ = r
-    out, second = [], []
+    symbols = []
     if root:
-        out.append(f"t:{root}")
+        symbols.append(f"t:{root}")
         if letter:
-            out.append(f"t:{root}{letter}")
+            symbols.append(f"t:{root}{letter}")
         elif class_ and root[-1].lower() == class_ and len(root) > 2:
-            out.append(f"t:{root[:-1]}")
-    sides = {f"d:{(day + k) // 30}" for k in (-8, 8)} if day >= 0 else set()
+            symbols.append(f"t:{root[:-1]}")
+    first, second = [np.array([hashed(t) for t in symbols], np.uint64)], []
+    sides = [hashed(f"d:{m}") for m in sorted({(day + k) // 30 for k in (-8, 8)})] if day >= 0 else []
     if sic and exchange:
-        sides.add(f"s:{sic}:{exchange}")
+        sides.append(hashed(f"s:{sic}:{exchange}"))
     for b, t in ((brand, trade), (former, former_trade)):
         if b:
-            out.extend(f"m:{t}:{i}:{v}" for i, v in enumerate(bands(b, name_bands)))
+            first.append(_mixed(bands(b, name_bands) ^ np.uint64(hashed(f"m:{t}"))))
             if sides:
                 head = bands(b.split()[0], side_bands)
-                second.extend(f"{side}:{i}:{v}" for side in sorted(sides) for i, v in enumerate(head))
-    return list(dict.fromkeys(out)), list(dict.fromkeys(second))
+                second.append(_mixed(np.array(sides, np.uint64)[:, None] ^ head).ravel())
+    signed = lambda parts: np.concatenate([np.array([], np.uint64), *parts]).view(np.int64)
+    return signed(first), signed(second)
+
+
+@lru_cache(maxsize=200_000)
+def hashed(key: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(key)
 
 
 @lru_cache(maxsize=200_000)
@@ -403,19 +421,11 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def hashed(key: str) -> int:
-    """A blocking key as a signed 64-bit number; a collision only adds a candidate."""
-    import xxhash
-
-    v = xxhash.xxh64_intdigest(key)
-    return v - (1 << 64) if v >= 1 << 63 else v
-
-
 def _key_batches(batches: Iterator[pa.RecordBatch], *shapes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.int64())
     for b in batches:
         both = [keys(r, *shapes) for r in zip(*(b.column(i).to_pylist() for i in range(1, len(FIELDS) + 1)), strict=True)]
-        blocks = [pa.array([[hashed(k) for k in ks[i]] for ks in both], kind) for i in (0, 1)]
+        blocks = [pa.array([ks[i] for ks in both], kind) for i in (0, 1)]
         yield pa.RecordBatch.from_arrays([b.column(0), *blocks, b.column(1)], names=["rep", "blocks", "side", "figi"])
 
 
