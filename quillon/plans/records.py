@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillon.common import bounded_broadcast, table
 from quillon.functions.normalize import asset_id, slashed
@@ -110,6 +113,30 @@ def upsert_keeps_static_cols(spark, d):
     return upsert(c.where("c_acctbal > 1000"), batch, ["c_custkey"], ["c_name", "c_acctbal"])
 
 
+_ASSET = ["ticker", "composite_figi", "share_class_figi", "primary_exchange", "asset_type", "active", "name", "cik"]
+_ASSET_SQL = (
+    "select translate(upper(trim(ticker)), '.-', '//') as ticker, nullif(upper(trim(composite_figi)), '') as composite_figi, share_class_figi, primary_exchange, asset_type, active, name, cik, rec_id as seq "
+    "from asset_polygon where nullif(trim(ticker), '') is not null and nullif(trim(composite_figi), '') is not null and {where}"
+)
+
+
+@R.add(
+    merged_sql(
+        "select * exclude (seq) from (" + _ASSET_SQL.format(where="rec_id % 3 <> 0") + ") qualify row_number() over (partition by ticker, composite_figi order by seq desc) = 1",
+        _ASSET_SQL.format(where="rec_id % 2 = 0"), _ASSET[:2], ["primary_exchange", "active", "name", "cik"], _ASSET,
+    )
+)
+def upsert_asset(spark, d):
+    """Assets keyed by ticker and identifier; kind and share class identifier stay as first written, rows without identifier are skipped."""
+    whole = DATA_TYPES["asset-description"]
+    spec = replace(whole, schema=StructType([whole.schema[c] for c in _ASSET]), update=tuple(c for c in whole.updates if c in _ASSET))
+    a = table(spark, d, "asset_polygon").select(
+        slashed(F.upper(F.trim("ticker"))).alias("ticker"), F.nullif(F.upper(F.trim("composite_figi")), F.lit("")).alias("composite_figi"), *_ASSET[2:], F.col("rec_id").alias("seq")
+    )
+    first = a.where("seq % 3 <> 0 and ticker <> ''").where(spec.valid()).groupBy(*spec.keys).agg(F.max_by(F.struct(*_ASSET[2:]), "seq").alias("x"))
+    return upsert_spec(first.select(*spec.keys, "x.*").select(*_ASSET), a.where("seq % 2 = 0 and ticker <> ''"), spec, F.col("seq"))
+
+
 def _indicator(e: DataFrame, day: str) -> DataFrame:
     return e.select(F.col("event_type").alias("series"), F.expr(day).alias("event_date"), F.col("value").cast("float").alias("value"), "event_id")
 
