@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.common import bounded_broadcast, cut
+
 #: Bits of the reason mask, in the order of the names that the operator returns.
 IMPOSSIBLE, SPIKE, STUCK, VOLUME_HIGH, VOLUME_LOW, SPLIT, OPEN, PLATEAU = 1, 2, 4, 8, 16, 32, 64, 128
 REASONS = ("impossible", "spike", "stuck", "volume_high", "volume_low", "split", "open", "plateau")
@@ -290,12 +292,17 @@ def implausible_days(
 
 def implausible_rows(
     rows: DataFrame, *, source: Column, day: Column, close: Column, volume: Column, split: Column, loaded: Column,
-    limits: Limits | None = None, into: str = "reasons",
+    limits: Limits | None = None, into: str = "reasons", max_days: int = 1_000_000,
 ) -> DataFrame:
-    """Every stored row whose source and day :func:`implausible_days` flags, with its reasons as texts."""
+    """Every stored row whose source and day :func:`implausible_days` flags, with its reasons as texts.
+
+    The flagged days are few; they are checkpointed in the shared folder, counted, and broadcast if there are at most
+    ``max_days``, so the rows aren't shuffled to find them; else both sides are joined by shuffle, with the same result.
+    """
     days = implausible_days(rows, source=source, day=day, close=close, volume=volume, split=split, loaded=loaded, limits=limits)
     named = F.filter(F.array(*[F.when(F.col("reasons").bitwiseAND(1 << i) != 0, F.lit(r)) for i, r in enumerate(REASONS)]), lambda x: x.isNotNull())
     keyed = rows.select(*[F.struct(*rows.columns).alias("__q_row")], source.alias("__q_key"), day.cast("date").alias("__q_day"))
-    return keyed.join(days.select("__q_key", "__q_day", named.alias("__q_why")), ["__q_key", "__q_day"]).select(
+    flagged = bounded_broadcast(cut(days.select("__q_key", "__q_day", named.alias("__q_why"))), max_days)
+    return keyed.join(flagged, ["__q_key", "__q_day"]).select(
         *[F.col("__q_row")[c].alias(c) for c in rows.columns], F.col("__q_why").alias(into)
     )

@@ -90,10 +90,11 @@ def test_rows_copies_nulls_and_empty(spark):
     rows = [(i, "a", day(i), float(c[i]), int(v[i]), 1.0, at, "x") for i in range(120)]
     rows += [(500, "a", day(60), float(c[60]), None, 1.0, at, "x"), (501, None, day(60), -1.0, 1, 1.0, at, "x"), (502, "a", None, -1.0, 1, 1.0, at, "x"), (503, "b", day(1), None, None, None, None, None)]
 
-    def run(rows):
+    def run(rows, **kw):
         r = spark.createDataFrame(rows, DDL)
-        return implausible_rows(r, source=r["k"], day=r["d"], close=r["c"], volume=r["v"], split=r["s"], loaded=r["at"])
+        return implausible_rows(r, source=r["k"], day=r["d"], close=r["c"], volume=r["v"], split=r["s"], loaded=r["at"], **kw)
 
-    got = {r["id"]: r["reasons"] for r in run(rows).collect()}
-    assert got == {60: ["spike"], 500: ["spike"]}
+    for most in (10, 0):  # flagged days broadcast, or joined by shuffle
+        got = {r["id"]: r["reasons"] for r in run(rows, max_days=most).collect()}
+        assert got == {60: ["spike"], 500: ["spike"]}
     assert run([]).count() == 0
