@@ -85,7 +85,7 @@ class ParquetStore:
     one in ``HASH_BUCKETS`` hash buckets of the key; so a batch of recent dates never rewrites the whole table.
 
     Defined cases: a partitioned type has no bucket for a row without date or before the first range; such rows go to
-    ``root/rejects`` and are counted. An empty batch makes no version. Of two writers that build on the same
+    ``root/rejects`` and are counted (a batch that is merged again, as after a failure, stores its rejects again). An empty batch makes no version. Of two writers that build on the same
     version one succeeds and the other gets :class:`ConcurrentMerge` and may merge again. The log entry's rename must
     be atomic and must not replace a file, as on HDFS.
     """
